@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillframe.operators.grid import latest_revision, regular_grid
+from rillframe.operators.instants import length_us, normalise_instants
 from rillframe.operators.intervals import periods_and_gaps
 from rillframe.operators.nearest import nearest_within
+from rillframe.operators.units import convert_units
 from rillframe.session import table
 
 SENSOR_TOPICS = ["/force6d_left_hand_force_torque", "/force6d_right_hand_force_torque", "/leju_claw_state", "/gripper/state"]
@@ -19,6 +21,17 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return periods_and_gaps(ppm, "bag_id", "start_ppm", "end_ppm")
 
 
+def p2_values(spark: SparkSession, d: str) -> DataFrame:
+    """Every readable value in newton metres or amperes."""
+    fields = {"effort": ("effort", "effort_unit", "torque"), "current_value": ("current_value", "current_unit", "current")}
+    return convert_units(table(spark, d, "joint_states"), table(spark, d, "recordings"), "reading_id", "bag_id", fields, "note")
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    other = p2_values(spark, d).where("value is not null and unit not in ('N·m', 'A')")
+    return other.select("reading_id", "field", F.round(F.col("value") * 1000).cast("bigint").alias("value_milli")).distinct()
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     frames = table(spark, d, "camera_frames")
     force = table(spark, d, "messages").where((F.col("topic") == SENSOR_TOPICS[0]) & (F.size("data") > 0))
@@ -45,4 +58,14 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return p5_series(spark, d).where("status <> 'observed'").select("bag_id", "topic", "slot")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p4_found, p5_found, p5_series)}
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    marks = table(spark, d, "marks")
+    devices = table(spark, d, "devices").groupBy("device_sn").agg(F.max("time_zone").alias("zone"))
+    recordings = table(spark, d, "recordings").groupBy("bag_id").agg(F.max("device_sn").alias("device_sn"), F.min("start_us").alias("low"), F.max("end_us").alias("high"))
+    windows = recordings.join(devices, "device_sn", "left")
+    instants = normalise_instants(marks, windows, "mark_id", "bag_id", ["mark_start", "mark_end", "trigger_time"])
+    lengths = marks.select("mark_id", F.lit("duration").alias("field"), length_us(F.col("duration")).alias("value_us")).where("value_us is not null").distinct()
+    return instants.unionByName(lengths)
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_values, p4_found, p5_found, p5_series, p6_found)}
