@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rillframe.operators.drift import consistent_table, schema_changes
 from rillframe.operators.grid import latest_revision, regular_grid
 from rillframe.operators.instants import length_us, normalise_instants
 from rillframe.operators.intervals import periods_and_gaps
@@ -68,4 +69,16 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return instants.unionByName(lengths)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_values, p4_found, p5_found, p5_series, p6_found)}
+_SIDECAR = ("exporter", "written_at", "file_id", "body")
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return schema_changes(table(spark, d, "sidecar_files"), *_SIDECAR)
+
+
+def p7_table(spark: SparkSession, d: str) -> DataFrame:
+    """One consistent table of all bodies."""
+    return consistent_table(table(spark, d, "sidecar_files"), *_SIDECAR)
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_values, p4_found, p5_found, p5_series, p6_found, p7_found, p7_table)}
