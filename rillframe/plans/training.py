@@ -10,6 +10,7 @@ from rillframe.operators.grid import latest_revision, regular_grid
 from rillframe.operators.instants import length_us, normalise_instants
 from rillframe.operators.intervals import periods_and_gaps
 from rillframe.operators.nearest import nearest_within
+from rillframe.operators.outliers import implausible_readings
 from rillframe.operators.units import convert_units
 from rillframe.session import table
 
@@ -33,6 +34,21 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return other.select("reading_id", "field", F.round(F.col("value") * 1000).cast("bigint").alias("value_milli")).distinct()
 
 
+# Positions run from 0 to 100, no base moves at 10 m/s or turns at 10 rad/s; commands may hold a value
+_LIMITS = {t: (0.0, 100.0) for t in ("/leju_claw_state", "/leju_claw_command", "/gripper/state")} | {"/cmd_pose_world_synced": (-10.0, 10.0)}
+_COMMANDS = ["/leju_claw_command", "/cmd_pose_world_synced"]
+
+
+def p3_flags(spark: SparkSession, d: str) -> DataFrame:
+    """Every reading that is out of line, with the reasons."""
+    windows = table(spark, d, "recordings").select("bag_id", F.col("start_us").alias("low"), F.col("end_us").alias("high"))
+    return implausible_readings(table(spark, d, "messages"), windows, "bag_id", "device_sn", "topic", "seq", "timestamp_us", "data", _LIMITS, _COMMANDS)
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return p3_flags(spark, d).select("bag_id", "topic", "seq")
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     frames = table(spark, d, "camera_frames")
     force = table(spark, d, "messages").where((F.col("topic") == SENSOR_TOPICS[0]) & (F.size("data") > 0))
@@ -81,4 +97,4 @@ def p7_table(spark: SparkSession, d: str) -> DataFrame:
     return consistent_table(table(spark, d, "sidecar_files"), *_SIDECAR)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_values, p4_found, p5_found, p5_series, p6_found, p7_found, p7_table)}
+QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_values, p3_found, p3_flags, p4_found, p5_found, p5_series, p6_found, p7_found, p7_table)}
