@@ -64,4 +64,4 @@ def epoch_us(col):
 
 def floor_div(a, b):
     """Integer division that rounds towards minus infinity (SQL ``div`` truncates)."""
-    return ((a - F.pmod(a, b)) / b).cast("bigint")
+    return F.call_function("div", a - F.pmod(a, b), b)
