@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rillframe.llm.mixing import mix, share_report
 from rillframe.llm.packing import fill_report, pack
+from rillframe.llm.subjects import composition, subjects_of
 from rillframe.llm.tokens import token_counts
 from rillframe.session import cut_lineage, table
 
@@ -42,6 +43,15 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return share_report(p9_mix(spark, d), table(spark, d, "mix_targets"))
 
 
-QUERIES = {f.__name__: f for f in (p8_packing, p8_report, p9_mix, p9_shares)}
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return subjects_of(table(spark, d, "documents"), table(spark, d, "subject_labels"), table(spark, d, "subjects"), "doc_id", "text", "subject")
+
+
+def p10_composition(spark: SparkSession, d: str) -> DataFrame:
+    """Documents and characters by source and subject."""
+    return composition(table(spark, d, "documents"), p10_found(spark, d), "doc_id", "source", "n_chars", "subject")
+
+
+QUERIES = {f.__name__: f for f in (p8_packing, p8_report, p9_mix, p9_shares, p10_found, p10_composition)}
 
 ORACLES: dict[str, str] = {}
