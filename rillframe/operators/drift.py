@@ -21,6 +21,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rillframe.session import cut_lineage, epoch_us
 
@@ -453,7 +454,10 @@ def schema_changes(files: DataFrame, exporter: str, at: str, file_id: str, body:
     return steps.select(F.col("file_id").alias(file_id), "change", "old_field", "new_field")
 
 
-@F.pandas_udf("array<struct<field: string, item: bigint, value: string, type: string>>")
+_CELL = T.StructType([T.StructField(n, t) for n, t in (("field", T.StringType()), ("item", T.LongType()), ("value", T.StringType()), ("type", T.StringType()))])
+
+
+@F.pandas_udf(T.ArrayType(_CELL))
 def _cells(body: pd.Series) -> pd.Series:
     def cells(text):
         doc = parse_body(text)

@@ -9,6 +9,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rillframe.functions.units import BASE, UNITS, spelling_distance
 
@@ -52,7 +53,7 @@ def _grams(text: Column) -> Column:
     return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(bare) - 1), lambda i: F.substring(bare, i, F.lit(2))))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _distance(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([spelling_distance(x, y) for x, y in zip(a, b)], dtype="float64")
 
