@@ -243,7 +243,7 @@ def pack(items: DataFrame, capacity: int, groups: int = GROUPS, small: float = 1
 
 
 def fill_report(packed: DataFrame, capacity: int) -> DataFrame:
-    """(containers, tokens, least_containers, fill): what was used, and the least any packing needs."""
+    """(containers, tokens, least_containers, fill): what was used, and the least any packing needs; fill is null without containers."""
     per = packed.groupBy("container_no").agg(F.sum("n_tokens").alias("t"))
     total = per.agg(F.count("*").alias("containers"), F.coalesce(F.sum("t"), F.lit(0)).alias("tokens"))
-    return total.select("containers", "tokens", F.ceil(F.col("tokens") / capacity).alias("least_containers"), F.round(F.col("tokens") / (F.col("containers") * capacity), 6).alias("fill"))
+    return total.select("containers", "tokens", F.ceil(F.col("tokens") / capacity).alias("least_containers"), F.round(F.try_divide(F.col("tokens"), F.col("containers") * capacity), 6).alias("fill"))
