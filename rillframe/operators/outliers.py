@@ -366,7 +366,8 @@ def implausible_readings(
     spans = spans.groupBy("bag").agg(F.min("low").alias("low"), F.max("high").alias("high"))
     rows = rows.join(broadcast_if_small(spans, windows.count(), max_broadcast_rows), "bag", "left")
     own = floor_div(F.col("seq"), size)
-    near = F.explode(F.sequence(floor_div(F.col("seq") - margin, size), floor_div(F.col("seq") + margin, size))).alias("chunk")
+    start = F.when(F.col("seq") >= 0, F.greatest(F.col("seq") - margin, F.lit(0))).otherwise(F.col("seq") - margin)  # usual numbers start at 0: no chunk before
+    near = F.explode(F.sequence(floor_div(start, size), floor_div(F.col("seq") + margin, size))).alias("chunk")
     rows = rows.select("bag", "topic", "source", "seq", "v", ((F.col("t") < F.col("low")) | (F.col("t") >= F.col("high"))).alias("outside"), own.alias("own"), near)
     rows = rows.select("bag", "topic", "chunk", "source", "seq", "v", "outside", (F.col("own") == F.col("chunk")).alias("core"))
     keys = ["bag", "topic", "chunk"]
