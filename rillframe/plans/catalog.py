@@ -410,12 +410,13 @@ def batch_windowed_nearest(spark, d):
 
 @query
 def stream_batches(spark, d):
-    """Batches of 20 events per user, from a file stream run to its end."""
-    from rillframe.streaming.batches import count_batches
+    """Batches of 20 events per user, the last one with the rest, from a file stream run to its end."""
+    from rillframe.streaming.batches import count_batches, last_batches
 
     where = f"{checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
     source = spark.readStream.schema(table(spark, d, "events").schema).parquet(f"{d}/event[s].parquet")
     rows = source.select(F.col("user_id").alias("bag_id"), epoch_us("ts").alias("t"))
     run = count_batches(rows, "bag_id", "t", 20, HOUR).writeStream.format("parquet").option("path", f"{where}/out").option("checkpointLocation", f"{where}/state").trigger(availableNow=True).start()
     run.awaitTermination()
-    return spark.read.schema("bag_id bigint, batch bigint, first_t bigint, last_t bigint, n bigint").parquet(f"{where}/out")
+    done = spark.read.schema("bag_id bigint, batch bigint, first_t bigint, last_t bigint, n bigint").parquet(f"{where}/out")
+    return done.unionByName(last_batches(spark, f"{where}/state", "bag_id", 20))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -15,7 +15,8 @@ def count_batches(stream: DataFrame, entity: str, time: str, size: int, slack: i
 
     A batch is emitted when a message more than ``slack`` microseconds after its last one has arrived,
     so it is complete if messages are late by less than that.  Later messages open no new batch: those
-    at or before the last emitted time are dropped.
+    before the last emitted time are dropped; those that tie with it go to the next batch.  What waits
+    when the stream has ended is given by :func:`last_batches`.
     """
     kind = stream.schema[entity].dataType.simpleString()
 
@@ -24,13 +25,12 @@ def count_batches(stream: DataFrame, entity: str, time: str, size: int, slack: i
         times = list(waiting)
         for part in parts:
             times += [int(x) for x in part[time].dropna()]
-        times = sorted(x for x in times if x > done)
+        times = sorted(x for x in times if x >= done)
         out = []
         while len(times) > size and times[-1] > times[size - 1] + slack:
             mine, times = times[:size], times[size:]
             out.append((key[0], number, mine[0], mine[-1], len(mine)))
             number, done = number + 1, mine[-1]
-            times = [x for x in times if x > done]
         state.update((number, done, times))
         yield pd.DataFrame(out, columns=[entity, "batch", "first_t", "last_t", "n"])
 
@@ -40,6 +40,17 @@ def count_batches(stream: DataFrame, entity: str, time: str, size: int, slack: i
     )
 
 
+def last_batches(spark: SparkSession, checkpoint: str, entity: str, size: int) -> DataFrame:
+    """The batches of :func:`count_batches` that wait in the state of a query that has ended, the last of an entity maybe short.
+
+    ``checkpoint`` is the query's folder; a query started again from it would emit these messages again.
+    """
+    state = spark.read.format("statestore").load(checkpoint).select(f"key.{entity}", "value.groupState.*")
+    rows = state.select(entity, "number", F.posexplode("waiting").alias("i", "t"))  # less than a batch and what came within the slack
+    batch = (F.col("number") + F.call_function("div", F.col("i"), F.lit(size))).alias("batch")
+    return rows.groupBy(entity, batch).agg(F.min("t").alias("first_t"), F.max("t").alias("last_t"), F.count("*").alias("n"))
+
+
 def windowed_rate(stream: DataFrame, key: str, event_time: str, late: str = "10 seconds", width: str = "10 seconds", slide: str | None = None) -> DataFrame:
     """Messages per key and event-time window (sliding with ``slide``), with a watermark for late ones."""
     w = F.window(event_time, width, slide) if slide else F.window(event_time, width)
