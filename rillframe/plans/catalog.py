@@ -27,8 +27,10 @@ def messages(spark: SparkSession, d: str, *kinds: str) -> DataFrame:
     return rows.where(F.col("key").isin(*kinds)) if kinds else rows
 
 
-def vectors(spark: SparkSession, d: str, width: int = 64) -> DataFrame:
-    return table(spark, d, "embeddings").select("vec_id", F.col("label").cast("bigint").alias("label"), F.slice("embedding", 1, width).alias("v"))
+def vectors(spark: SparkSession, d: str, width: int | None = None) -> DataFrame:
+    """Embeddings as vectors, whole or, for a fixed layout, their first ``width`` values."""
+    v = F.slice("embedding", 1, width) if width else F.col("embedding")
+    return table(spark, d, "embeddings").select("vec_id", F.col("label").cast("bigint").alias("label"), v.alias("v"))
 
 
 def _near(spark, d, **options) -> DataFrame:

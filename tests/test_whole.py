@@ -36,3 +36,13 @@ def test_stream_ties_and_short_entities(spark, tmp_path):
     got = out.unionByName(last_batches(spark, str(tmp_path / "state"), "bag_id", 3))
     rows = spark.createDataFrame([r for part in files for r in part if r[1] is not None], schema)
     assert out.count() and sorted(map(tuple, got.select("bag_id", "batch", "first_t", "last_t", "n").collect())) == twin(rows, 3)
+
+
+def test_vectors_are_whole(spark, tmp_path):
+    """Embeddings longer than today's 64 keep all dimensions."""
+    rows = [(i, 0, [float(i * j) for j in range(70)]) for i in range(1, 4)]
+    spark.createDataFrame(rows, "vec_id long, label int, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    d = str(tmp_path)
+    for q in (catalog.feature_stats, catalog.stats_merge_parallel, catalog.stats_merge_sumsq):
+        assert sorted((r.pos, r.max) for r in q(spark, d).collect()) == [(j, 3.0 * j) for j in range(70)]
+    assert sorted((r.vec_id, r["diff"]) for r in catalog.frame_difference(spark, d).collect()) == [(1, 34.5), (2, 34.5)]
