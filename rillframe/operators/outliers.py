@@ -188,24 +188,22 @@ def _shifted(e: np.ndarray, group: np.ndarray, j: int) -> np.ndarray:
     return out
 
 
-def interventions(x: np.ndarray, group: np.ndarray, noise: np.ndarray, phi: np.ndarray, critical: float = 4.0, rounds: int = 12) -> np.ndarray:
+def interventions(x: np.ndarray, group: np.ndarray, noise: np.ndarray, phi: np.ndarray, critical: float = 4.0) -> np.ndarray:
     """Where additive outliers or level shifts were found, by iterative testing and removal of their effects.
 
     ``x`` (readings by components, no gaps), ``group`` (series of each reading), ``noise`` (of the
-    differences) and ``phi`` (two coefficients) in the shape of x.
+    differences; components without any are not tested) and ``phi`` (two coefficients) in the shape of x.
+    Each series is tested until nothing is left in it, whatever its neighbours: the largest statistic
+    of a series is always a find, finds are so far apart that their effects do not overlap, and each
+    removal lowers the sum of squared residuals.
     """
     found = np.zeros(x.shape, bool)
-    n = len(x)
-    if n < 3:
-        return found
-    y = x.copy()
-    fresh = np.r_[True, group[1:] != group[:-1]]
+    rows, y = np.arange(len(x)), x.copy()  # of the series with finds left
     p1, p2 = phi
-    ao = np.stack([np.ones_like(p1), -(1 + p1), p1 - p2, p2])
-    ls = np.stack([np.ones_like(p1), -p1, -p2, np.zeros_like(p1)])
-    spread = np.sqrt(np.maximum(1 - p1 * p1 - p2 * p2, 0.05)) * np.maximum(noise, 1e-300)  # of the residuals
-    live = np.ones(n, bool)
-    for _ in range(rounds):
+    least = 1e-12 * np.max(np.abs(x), axis=0, initial=0.0)  # what rounding leaves is no find
+    while len(rows) >= 3:
+        fresh = np.r_[True, group[1:] != group[:-1]]
+        spread = np.sqrt(np.maximum(1 - p1 * p1 - p2 * p2, 0.05)) * np.maximum(noise, 1e-300)  # of the residuals
         d = np.zeros_like(y)
         d[1:] = y[1:] - y[:-1]
         d[fresh] = 0
@@ -214,21 +212,23 @@ def interventions(x: np.ndarray, group: np.ndarray, noise: np.ndarray, phi: np.n
             ok = np.r_[np.zeros(lag, bool), group[lag:] == group[:-lag]]
             e[lag:] -= np.where(ok[lag:, None], p[lag:] * d[:-lag], 0.0)
         ahead = [_shifted(e, group, j) for j in range(4)]
+        ao = (np.ones_like(p1), -(1 + p1), p1 - p2, p2)
+        ls = (np.ones_like(p1), -p1, -p2, np.zeros_like(p1))
         size, stat = {}, {}
         for name, w in (("ao", ao), ("ls", ls)):
-            power = np.sum(w * w, axis=0)
+            power = sum(c * c for c in w)
             size[name] = sum(w[j] * ahead[j] for j in range(4)) / power
-            stat[name] = np.abs(size[name]) * np.sqrt(power) / spread
-        best = np.maximum(stat["ao"], stat["ls"]) * live[:, None]
+            stat[name] = np.where((noise > 0) & (np.abs(size[name]) > least), np.abs(size[name]) * np.sqrt(power) / spread, 0.0)
+        best = np.maximum(stat["ao"], stat["ls"])
         best[fresh] = 0
-        around = best.copy()
-        for j in (1, 2, 3):
-            around[j:] = np.maximum(around[j:], best[:-j])
-            around[:-j] = np.maximum(around[:-j], best[j:])
-        hit = (best > critical) & (best == around)
+        hit = best > critical
+        for j in range(1, min(4, len(rows))):
+            same = (group[j:] == group[:-j])[:, None]
+            hit[j:] &= ~same | (best[j:] > best[:-j])  # of equal ones the first
+            hit[:-j] &= ~same | (best[:-j] >= best[j:])
         if not hit.any():
             break
-        found |= hit
+        found[rows] |= hit
         single = hit & (stat["ao"] >= stat["ls"])
         y = y - np.where(single, size["ao"], 0.0)
         shift = np.cumsum(np.where(hit & ~single, size["ls"], 0.0), axis=0)
@@ -236,6 +236,8 @@ def interventions(x: np.ndarray, group: np.ndarray, noise: np.ndarray, phi: np.n
         base = (shift - np.where(hit & ~single, size["ls"], 0.0))[first]
         y = y - (shift - base[np.cumsum(fresh) - 1])
         live = np.isin(group, np.unique(group[hit.any(axis=1)]))  # series without a find are done
+        if not live.all():
+            rows, y, group, noise, p1, p2 = rows[live], y[live], group[live], noise[live], p1[live], p2[live]
     return found
 
 

@@ -1,8 +1,10 @@
 """Whole results: nothing of the input is left out."""
 
+import numpy as np
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from rillframe.operators.outliers import interventions
 from rillframe.plans import catalog
 from rillframe.streaming.batches import count_batches, last_batches
 
@@ -46,3 +48,22 @@ def test_vectors_are_whole(spark, tmp_path):
     for q in (catalog.feature_stats, catalog.stats_merge_parallel, catalog.stats_merge_sumsq):
         assert sorted((r.pos, r.max) for r in q(spark, d).collect()) == [(j, 3.0 * j) for j in range(70)]
     assert sorted((r.vec_id, r["diff"]) for r in catalog.frame_difference(spark, d).collect()) == [(1, 34.5), (2, 34.5)]
+
+
+def test_interventions_ignore_other_series():
+    """A spike at the end of a series is found beside a larger one at the start of the next, and none is left after many rounds."""
+    rng = np.random.default_rng(1)
+    one, two = rng.normal(size=(60, 1)), rng.normal(size=(60, 1))
+    one[58] += 30
+    two[1] += 300
+    many = rng.normal(size=(200, 1))
+    many[50:150] += np.cumsum(rng.choice([-1, 1], 100) * 10.0 ** rng.uniform(1, 6, 100))[:, None]
+
+    def run(*parts):
+        x, group = np.concatenate(parts), np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+        return np.split(interventions(x, group, np.full(x.shape, 1.4), (np.full(x.shape, -0.5), np.zeros(x.shape))), np.cumsum([len(p) for p in parts])[:-1])
+
+    together = run(one, two, many)
+    assert together[0][58, 0] and together[1][1, 0]
+    for part, found in zip((one, two, many), together):
+        assert np.array_equal(run(part)[0], found)
