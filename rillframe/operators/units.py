@@ -95,7 +95,7 @@ def phrases_of(note: Column) -> Column:
     # "in lbf..." at the start of a phrase is the preposition, not inches
     plain = F.filter(runs, lambda p: ~p.contains("|") & ~F.lower(p).startswith("in ") & (F.length(p) > 1))
     plain = F.transform(plain, lambda p: F.regexp_replace(p, "[⟨⟩]", ""))
-    han = F.filter(words, lambda w: w.rlike(r"^\p{IsHan}{2,40}$"))
+    han = F.filter(words, lambda w: w.rlike(r"^\p{IsHan}{2,}$"))
     cuts = F.flatten(
         F.transform(han, lambda w: F.flatten(F.transform(F.sequence(F.lit(1), F.length(w)), lambda i: F.transform(F.sequence(F.lit(2), F.lit(5)), lambda n: F.substring(w, i, n)))))
     )

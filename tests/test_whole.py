@@ -5,6 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rillframe.operators.outliers import interventions
+from rillframe.operators.units import phrases_of
 from rillframe.plans import catalog
 from rillframe.streaming.batches import count_batches, last_batches
 
@@ -67,3 +68,9 @@ def test_interventions_ignore_other_series():
     assert together[0][58, 0] and together[1][1, 0]
     for part, found in zip((one, two, many), together):
         assert np.array_equal(run(part)[0], found)
+
+
+def test_units_in_long_runs_of_han(spark):
+    note = "测" * 60 + "千克力厘米" + "试" * 60
+    found = spark.createDataFrame([(note,)], "note string").select(phrases_of(F.col("note")).alias("p")).first().p
+    assert "千克力厘米" in found
