@@ -2,14 +2,16 @@
 
 The differences of every component follow a second-order autoregression whose coefficients and noise
 are fitted robustly per source (histograms of absolute differences and winsorised covariances, summed
-over all readings of the source).  Each series is then tested for additive outliers and level shifts,
-whose effects are removed and the rest tested again until nothing is left.  An additive outlier, or a
-pair of level shifts that cancel within three readings, is a spike if the values pass an exact check;
-a level shift that stays is normal.
+over all readings of the source).  The residuals of each series are then tested for additive outliers
+and level shifts, whose effects are removed and the rest tested again until nothing is left.  Where the
+effects leave a level and come back to it within three readings, by far more than the noise of the source
+and of the residuals around, is a spike if the values themselves agree (an exact check); a level shift
+that stays is normal.
 
 A series is cut into chunks of successive sequence numbers with a margin on both sides, so one long
-series or one large source is spread over many tasks.  The exchange by chunk is shared by the fit and
-the tests; the fitted parameters come back to the chunks by a join, never by way of the driver.
+series or one large source is spread over many tasks.  The values are exchanged once, by chunk, for the
+fit and the tests; a second, light scan (without the values) tells the source of each chunk, by which
+the fitted parameters come back to the chunks in a join, never by way of the driver.
 """
 
 from __future__ import annotations
@@ -188,57 +190,70 @@ def _shifted(e: np.ndarray, group: np.ndarray, j: int) -> np.ndarray:
     return out
 
 
-def interventions(x: np.ndarray, group: np.ndarray, noise: np.ndarray, phi: np.ndarray, critical: float = 4.0) -> np.ndarray:
-    """Where additive outliers or level shifts were found, by iterative testing and removal of their effects.
+def interventions(x: np.ndarray, group: np.ndarray, noise: np.ndarray, phi: np.ndarray, critical: float = 4.0) -> tuple[np.ndarray, np.ndarray]:
+    """What additive outliers and level shifts add to each reading, by iterative testing and removal, and the residuals left.
 
     ``x`` (readings by components, no gaps), ``group`` (series of each reading), ``noise`` (of the
     differences; components without any are not tested) and ``phi`` (two coefficients) in the shape of x.
-    Each series is tested until nothing is left in it, whatever its neighbours: the largest statistic
-    of a series is always a find, finds are so far apart that their effects do not overlap, and each
-    removal lowers the sum of squared residuals.
+    Tested are outliers of one to three readings (a level shift and its cancellation) and lasting level
+    shifts, each by the least-squares size of its pattern in the residuals of the autoregression.  Each
+    series is tested until nothing is left in it, whatever its neighbours: the largest statistic of a
+    series is always a find, finds are so far apart that their effects do not overlap, and each removal
+    lowers the sum of squared residuals.
     """
-    found = np.zeros(x.shape, bool)
     rows, y = np.arange(len(x)), x.copy()  # of the series with finds left
+    clean, rest = x.copy(), np.zeros_like(x)
     p1, p2 = phi
     least = 1e-12 * np.max(np.abs(x), axis=0, initial=0.0)  # what rounding leaves is no find
-    while len(rows) >= 3:
+    while len(rows):
         fresh = np.r_[True, group[1:] != group[:-1]]
-        spread = np.sqrt(np.maximum(1 - p1 * p1 - p2 * p2, 0.05)) * np.maximum(noise, 1e-300)  # of the residuals
+        spread = _residual_share(p1, p2) * np.maximum(noise, 1e-300)
         d = np.zeros_like(y)
         d[1:] = y[1:] - y[:-1]
         d[fresh] = 0
         e = d.copy()
         for lag, p in ((1, p1), (2, p2)):
-            ok = np.r_[np.zeros(lag, bool), group[lag:] == group[:-lag]]
+            ok = np.r_[np.zeros(min(lag, len(y)), bool), group[lag:] == group[:-lag]]
             e[lag:] -= np.where(ok[lag:, None], p[lag:] * d[:-lag], 0.0)
-        ahead = [_shifted(e, group, j) for j in range(4)]
-        ao = (np.ones_like(p1), -(1 + p1), p1 - p2, p2)
-        ls = (np.ones_like(p1), -p1, -p2, np.zeros_like(p1))
-        size, stat = {}, {}
-        for name, w in (("ao", ao), ("ls", ls)):
+        rest[rows] = e
+        ahead = [_shifted(e, group, j) for j in range(LONGEST + 3)]
+        one, none = np.ones_like(p1), np.zeros_like(p1)
+        shift = [one, -p1, -p2, *[none] * LONGEST]  # of the residuals after a lasting shift by one
+        best, size, kind = none, none, np.zeros(y.shape, np.int8)
+        for length in range(LONGEST + 1):  # 0: the shift lasts
+            w = [shift[j] - (shift[j - length] if 0 < length <= j else 0.0) for j in range(LONGEST + 3)]
             power = sum(c * c for c in w)
-            size[name] = sum(w[j] * ahead[j] for j in range(4)) / power
-            stat[name] = np.where((noise > 0) & (np.abs(size[name]) > least), np.abs(size[name]) * np.sqrt(power) / spread, 0.0)
-        best = np.maximum(stat["ao"], stat["ls"])
+            by = sum(c * a for c, a in zip(w, ahead)) / power
+            stat = np.where((noise > 0) & (np.abs(by) > least), np.abs(by) * np.sqrt(power) / spread, 0.0)
+            more = stat > best
+            best, size, kind = np.where(more, stat, best), np.where(more, by, size), np.where(more, length, kind)
         best[fresh] = 0
         hit = best > critical
-        for j in range(1, min(4, len(rows))):
+        for j in range(1, min(LONGEST + 3, len(rows))):
             same = (group[j:] == group[:-j])[:, None]
             hit[j:] &= ~same | (best[j:] > best[:-j])  # of equal ones the first
             hit[:-j] &= ~same | (best[:-j] >= best[j:])
         if not hit.any():
             break
-        found[rows] |= hit
-        single = hit & (stat["ao"] >= stat["ls"])
-        y = y - np.where(single, size["ao"], 0.0)
-        shift = np.cumsum(np.where(hit & ~single, size["ls"], 0.0), axis=0)
+        moves = np.where(hit & (kind == 0), size, 0.0)
+        level = np.cumsum(moves, axis=0)
         first = np.flatnonzero(fresh)
-        base = (shift - np.where(hit & ~single, size["ls"], 0.0))[first]
-        y = y - (shift - base[np.cumsum(fresh) - 1])
+        y = y - (level - level[first][np.cumsum(fresh) - 1])
+        for length in range(1, LONGEST + 1):
+            pulse = np.where(hit & (kind == length), size, 0.0)
+            for j in range(length):
+                y = y - _shifted(pulse[::-1], group[::-1], j)[::-1]
+        clean[rows] = y
         live = np.isin(group, np.unique(group[hit.any(axis=1)]))  # series without a find are done
         if not live.all():
             rows, y, group, noise, p1, p2 = rows[live], y[live], group[live], noise[live], p1[live], p2[live]
-    return found
+    return x - clean, rest
+
+
+def _residual_share(p1: np.ndarray, p2: np.ndarray) -> np.ndarray:
+    """Standard deviation of the autoregression's residuals as a share of that of the differences."""
+    r1 = p1 / (1 - p2)
+    return np.sqrt(np.maximum(1 - p1 * r1 - p2 * (p1 * r1 + p2), 0.05))
 
 
 def _fill(x: np.ndarray, ok: np.ndarray, fresh: np.ndarray, forward: bool) -> np.ndarray:
@@ -268,31 +283,36 @@ def flags(block: Block, fit: np.ndarray, limits: np.ndarray, may_hold: np.ndarra
     before, after = _fill(x, ok, fresh, True), _fill(x, ok, fresh, False)
     y = np.where(np.isfinite(before), before, after)
     y = np.where(np.isfinite(y), y, 0.0)
-    touched = interventions(y, group, noise, (p1, p2))
+    effect, rest = interventions(y, group, noise, (p1, p2))
+    rest = np.abs(rest) / _residual_share(p1, p2)
+    rest[fresh] = np.nan
 
     n = len(x)
     spike = np.zeros(n, bool)
-    step = np.abs(np.r_[np.zeros((1, x.shape[1])), np.diff(y, axis=0)])
-    step[fresh] = np.nan
     for length in range(1, LONGEST + 1):
         if n < length + 2:
             continue
         i = np.arange(1, n - length)
         whole = group[i - 1] == group[i + length]
-        p, q = before[i - 1], after[i + length]
-        base = (p + q) / 2
-        away = np.stack([np.where(bad[i + j], np.nan, x[i + j] - base) for j in range(length)])
+        # an excursion is where the effects found leave a level and come back to it
+        e0, e1 = effect[i - 1], effect[i + length]
+        away = np.stack([np.where(bad[i + j], np.nan, effect[i + j] - (e0 + e1) / 2) for j in range(length)])
         with np.errstate(invalid="ignore"):
             up, down = np.all(np.isnan(away) | (away > 0), axis=0), np.all(np.isnan(away) | (away < 0), axis=0)
             least = np.min(np.where(np.isnan(away), np.inf, np.abs(away)), axis=0)
-            near = np.any(np.stack([touched[i + j] for j in range(length + 1)]), axis=0)
-            hit = whole[:, None] & near & (up | down) & np.isfinite(least) & (least > far * noise[i]) & (noise[i] > 0) & (np.abs(p - q) < 0.5 * least)
-        for r, c in zip(*np.nonzero(hit)):  # far from the local noise, too, without the excursion itself
+            hit = whole[:, None] & (up | down) & np.isfinite(least) & (least > far * noise[i]) & (noise[i] > 0) & (np.abs(e0 - e1) < 0.5 * least)
+        for r, c in zip(*np.nonzero(hit)):
             t = i[r]
             a, b = max(block.head[group[t]], t - 10), min(block.tail[group[t]], t + length + 11)
-            sides = [w[np.isfinite(w)] for w in (step[a:t, c], step[t + length + 1 : b, c])]
-            local = min((1.4826 * np.median(w) for w in sides if len(w) >= 3), default=0.0)  # the calmer side
-            if least[r, c] > far * max(noise[t, c], local):
+            # far from the local noise, too: the residuals of the calmer side
+            sides = [w[np.isfinite(w)] for w in (rest[a:t, c], rest[t + length + 1 : b, c])]
+            local = min((1.4826 * np.median(w) for w in sides if len(w) >= 3), default=0.0)
+            if least[r, c] <= far * max(noise[t, c], local):
+                continue
+            # the exact check: the values themselves stand away on one side of neighbours that agree
+            p, q = before[t - 1, c], after[t + length, c]
+            part = np.where(bad[t : t + length, c], np.nan, x[t : t + length, c] - (p + q) / 2) * (1 if up[r, c] else -1)
+            if np.all(np.isnan(part) | (part > 0)) and abs(p - q) < 0.5 * np.nanmin(part):
                 spike[t : t + length] |= ~bad[t : t + length, c]
 
     equal = np.zeros(x.shape, bool)
@@ -348,8 +368,9 @@ def implausible_readings(
     * outside: the time is not in the entity's window (entities without one have no such readings);
     * impossible: a component is not finite, outside ``limits`` of its topic by more than three times
       the noise, or ``beyond`` times the source's spread away from the middle of its series;
-    * spike: at most three successive readings that, in a component, lie ``far`` times the noise from
-      both neighbours, which agree; where values are usually held the spread stands for the noise;
+    * spike: at most three successive readings whose effects, in a component, are ``far`` times the noise
+      (of the source, and of the residuals on the calmer side) while those of both neighbours agree, and whose
+      values stand away from both, which agree; where values are usually held the spread stands for the noise;
     * stuck: at least 20 successive equal values of a component that otherwise changes from reading to
       reading (not for the topics in ``may_hold``).
 
@@ -373,10 +394,10 @@ def implausible_readings(
     rows = rows.select("bag", "topic", "source", "seq", "v", ((F.col("t") < F.col("low")) | (F.col("t") >= F.col("high"))).alias("outside"), own.alias("own"), near)
     rows = rows.select("bag", "topic", "chunk", "source", "seq", "v", "outside", (F.col("own") == F.col("chunk")).alias("core"))
     keys = ["bag", "topic", "chunk"]
-    spread = rows.repartition(*keys)
+    spread = rows.repartition(*keys)  # the fit and the tests read the same columns of it, so there is one exchange
     fitted = spread.sortWithinPartitions(*keys, "seq").mapInArrow(_statistics, _STATS).groupBy("source", "topic").applyInPandas(fit_source, _PARAMS)
     # a chunk's parameters; its rows have one source, as an entity has
-    heads = spread.groupBy(*keys).agg(F.max("source").alias("source")).join(fitted, ["source", "topic"]).select(*keys, "fit")
-    tested = spread.drop("source").join(heads, keys, "left").sortWithinPartitions(*keys, "seq")
+    heads = rows.groupBy(*keys).agg(F.max("source").alias("source")).join(fitted, ["source", "topic"]).select(*keys, "fit")
+    tested = spread.join(heads, keys, "left").sortWithinPartitions(*keys, "seq")
     found = tested.mapInArrow(_tests(limits or {}, may_hold or [], far, beyond), "bag string, topic string, seq bigint, outside boolean, impossible boolean, spike boolean, stuck boolean")
     return found.select(F.col("bag").alias(entity), F.col("topic").alias(topic), F.col("seq").alias(seq), "outside", "impossible", "spike", "stuck")

@@ -1,9 +1,11 @@
 """Whole results: nothing of the input is left out."""
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from rillframe.operators import outliers
 from rillframe.operators.outliers import interventions
 from rillframe.operators.units import phrases_of
 from rillframe.plans import catalog
@@ -62,7 +64,8 @@ def test_interventions_ignore_other_series():
 
     def run(*parts):
         x, group = np.concatenate(parts), np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-        return np.split(interventions(x, group, np.full(x.shape, 1.4), (np.full(x.shape, -0.5), np.zeros(x.shape))), np.cumsum([len(p) for p in parts])[:-1])
+        effect, _ = interventions(x, group, np.full(x.shape, 1.4), (np.full(x.shape, -0.5), np.zeros(x.shape)))
+        return np.split(effect != 0, np.cumsum([len(p) for p in parts])[:-1])
 
     together = run(one, two, many)
     assert together[0][58, 0] and together[1][1, 0]
@@ -74,3 +77,24 @@ def test_units_in_long_runs_of_han(spark):
     note = "测" * 60 + "千克力厘米" + "试" * 60
     found = spark.createDataFrame([(note,)], "note string").select(phrases_of(F.col("note")).alias("p")).first().p
     assert "千克力厘米" in found
+
+
+def test_spikes_come_from_the_interventions(monkeypatch):
+    """Excursions of one to three readings are told by the effects found in the residuals; without these there are none."""
+    rng = np.random.default_rng(3)
+    x = np.cumsum(rng.normal(size=300)) * 0.2 + rng.normal(size=300)
+    want = {40, 100, 101, 160, 161, 162}
+    x[sorted(want)] += 25
+    x[220:] += 40  # lasting
+    n = len(x)
+    rows = pa.table({"bag": ["b"] * n, "topic": ["t"] * n, "chunk": [0] * n, "seq": list(range(n)), "v": pa.array([[float(v)] for v in x])})
+    fit = np.broadcast_to(np.array([1.45, 20.0, 0.0, -0.45, -0.2]), (n, 1, 5))
+    limits = np.tile([-np.inf, np.inf], (n, 1))
+
+    def spikes():
+        return set(np.flatnonzero(outliers.flags(outliers.Block(rows), fit, limits, np.zeros(n, bool), 7.5, 40.0)[1]))
+
+    assert spikes() == want
+    for useless in (np.ones((n, 1)), np.zeros((n, 1))):
+        monkeypatch.setattr(outliers, "interventions", lambda x, *_, e=useless: (e, np.zeros(x.shape)))
+        assert spikes() == set()
