@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rillframe.functions.units import BASE, UNITS, spelling_distance
+from rillframe.session import broadcast_if_small, cut_lineage
 
 _ODD_SPACE = "[\\u00a0\\u2007\\u2009\\u202f\\s]+"
-_NUMBER = r"^([+-]?(?:\d[\d.,]*\d|\d|[.,]\d+)(?:[eE][+-]?\d+)?) ?(.*)$"
+_NUMBER = r"^([+-]?(?:\d[\d.,]*\d|\d|[.,]\d+)(?:[eE][+-]?\d+)?)"
 
 
 def tidy(text: Column) -> Column:
@@ -22,34 +23,37 @@ def tidy(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.translate(text, "−", "-"), _ODD_SPACE, " "))
 
 
-def number_of(text: Column) -> Column:
-    """The leading number of a tidy text as double, null if there is none.
+def split_numbers(df: DataFrame, text: str) -> DataFrame:
+    """Adds ``x``, the leading number of a tidy text (null if there is none), and ``rest``, what follows it (null if nothing does).
 
     A single comma is a decimal comma; where points and commas both occur the last one is the decimal
-    mark; several equal marks separate thousands.
+    mark; several equal marks separate thousands.  Each step is a projection of its own, so that no
+    pattern is searched twice.
     """
-    digits = F.regexp_extract(text, _NUMBER, 1)
-    mantissa = F.regexp_extract(digits, r"^([^eE]*)", 1)
-    exponent = F.substring(digits, F.length(mantissa) + 1, F.lit(8))
-    commas, points = F.length(F.regexp_replace(mantissa, "[^,]", "")), F.length(F.regexp_replace(mantissa, "[^.]", ""))
+    digits, mantissa = F.col("_digits"), F.col("_mantissa")
+    df = df.withColumn("_digits", F.regexp_extract(text, _NUMBER, 1))
+    rest = F.ltrim(F.substring(F.col(text), F.length(digits) + 1, F.length(text)))
+    df = df.withColumn("rest", F.when((digits != "") & (rest != ""), rest)).withColumn("_mantissa", F.substring_index(F.translate(digits, "E", "e"), "e", 1))
+    df = df.withColumns({n: F.length(mantissa) - F.length(F.translate(mantissa, mark, "")) for n, mark in (("_commas", ","), ("_points", "."))})
+    commas, points = F.col("_commas"), F.col("_points")
     comma_last = F.locate(",", F.reverse(mantissa)) < F.locate(".", F.reverse(mantissa))
     decimal_comma = ((commas == 1) & (points == 0)) | ((points > 0) & (commas > 0) & comma_last)
     plain = (
-        F.when(decimal_comma, F.translate(F.translate(mantissa, ".", ""), ",", "."))
+        F.when((points <= 1) & (commas == 0), mantissa)
+        .when(decimal_comma, F.translate(F.translate(mantissa, ".", ""), ",", "."))
         .when((points > 1) & (commas == 0), F.translate(mantissa, ".", ""))
         .otherwise(F.translate(mantissa, ",", ""))
     )
-    return F.concat(plain, exponent).try_cast("double")
+    x = F.concat(plain, F.substring(digits, F.length(mantissa) + 1, F.length(digits))).try_cast("double")
+    return df.withColumn("x", x).drop("_digits", "_mantissa", "_commas", "_points")
 
 
-def unit_text_of(text: Column) -> Column:
-    """What follows the leading number of a tidy text, null if nothing does."""
-    rest = F.regexp_extract(text, _NUMBER, 2)
-    return F.when(rest != "", rest)
+def _bare(text: Column) -> Column:
+    return F.regexp_replace(F.lower(text), r"[ .·*\-_/]", "")
 
 
 def _grams(text: Column) -> Column:
-    bare = F.concat(F.lit("^"), F.regexp_replace(F.lower(text), r"[ .·*\-_/]", ""), F.lit("$"))
+    bare = F.concat(F.lit("^"), _bare(text), F.lit("$"))
     return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(bare) - 1), lambda i: F.substring(bare, i, F.lit(2))))
 
 
@@ -71,10 +75,11 @@ def unit_aliases(spellings: DataFrame, tolerance: float = 0.15) -> DataFrame:
     most ``tolerance`` times the longer length; a tie between units gives no alias.
     """
     asked = spellings.select("quantity", "spelling").where("quantity is not null and trim(spelling) <> ''").distinct()
+    longest = max(len(n) for _, _, names in UNITS.values() for n in names)  # a spelling with more letters than twice a name's is not near it
     index = lexicon(spellings.sparkSession).withColumn("grams", _grams(F.col("name")))
     postings = index.select("unit", "quantity", "factor", "name", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
     mine = _grams(F.col("spelling"))
-    probes = asked.where(F.length("spelling") <= 64).select("quantity", "spelling", F.size(mine).alias("m"), F.explode(mine).alias("gram"))
+    probes = asked.where(F.length(_bare(F.col("spelling"))) <= 2 * longest).select("quantity", "spelling", F.size(mine).alias("m"), F.explode(mine).alias("gram"))
     shared = probes.join(postings, ["quantity", "gram"]).groupBy("quantity", "spelling", "m", "unit", "factor", "name", "n").agg(F.count("*").alias("both"))
     near = shared.where(F.col("both") >= 0.4 * (F.col("m") + F.col("n") - F.col("both")))
     scored = near.withColumn("d", _distance("spelling", "name")).where(F.col("d") <= tolerance * F.greatest(F.length("spelling"), F.length("name")))
@@ -84,26 +89,35 @@ def unit_aliases(spellings: DataFrame, tolerance: float = 0.15) -> DataFrame:
     return best.join(ties.where("n = 1"), ["quantity", "spelling"]).select("quantity", "spelling", "u.unit", "u.factor")
 
 
+_NAMES = [n for _, _, names in UNITS.values() for n in names]
+_WORDS = 1 + max(len(n.split()) for n in _NAMES)  # a word more than the names have, for one split by a mistake
+_HAN = max(len(n) for n in _NAMES if "\u3400" <= n[0] <= "\u9fff")
+
+
 def phrases_of(note: Column) -> Column:
-    """Phrases of a note that may name a unit: up to four words, short runs of Han, single letters only after ``=`` or in brackets."""
+    """Phrases of a note that may name a unit: as many words, and as long runs of Han, as the names of units have; single letters only after ``=`` or in brackets."""
     marked = F.regexp_replace(note, r"(?<=[=\[] ?)([A-Za-z])(?=[\];,. ]|$)", "⟨$1⟩")
     # a full stop ends a phrase only at the end of a sentence; units are written with dots, too
     cleared = F.regexp_replace(marked, r"[;,:()\[\]=/（）；，、。]|\.(?= |$)", " | ")
-    words = F.filter(F.split(F.regexp_replace(cleared, r"(\p{IsHan}+)", " $1 "), r"\s+"), lambda w: w != "")
-    at = F.sequence(F.lit(1), F.greatest(F.size(words), F.lit(1)))
-    runs = F.flatten(F.transform(at, lambda i: F.transform(F.sequence(F.lit(1), F.lit(4)), lambda n: F.array_join(F.slice(words, i, n), " "))))
-    # "in lbf..." at the start of a phrase is the preposition, not inches
-    plain = F.filter(runs, lambda p: ~p.contains("|") & ~F.lower(p).startswith("in ") & (F.length(p) > 1))
-    plain = F.transform(plain, lambda p: F.regexp_replace(p, "[⟨⟩]", ""))
-    han = F.filter(words, lambda w: w.rlike(r"^\p{IsHan}{2,}$"))
-    cuts = F.flatten(
-        F.transform(han, lambda w: F.flatten(F.transform(F.sequence(F.lit(1), F.length(w)), lambda i: F.transform(F.sequence(F.lit(2), F.lit(5)), lambda n: F.substring(w, i, n)))))
-    )
-    return F.array_distinct(F.concat(plain, cuts))
+    listed = F.filter(F.split(F.regexp_replace(cleared, r"(\p{IsHan}+)", " $1 "), r"\s+"), lambda w: w != "")
+
+    def phrases(words: Column) -> Column:
+        at = F.sequence(F.lit(1), F.greatest(F.size(words), F.lit(1)))
+        runs = F.flatten(F.transform(at, lambda i: F.transform(F.sequence(F.lit(1), F.lit(_WORDS)), lambda n: F.array_join(F.slice(words, i, n), " "))))
+        # "in lbf..." at the start of a phrase is the preposition, not inches
+        plain = F.filter(runs, lambda p: ~p.contains("|") & ~F.lower(p).startswith("in ") & (F.length(p) > 1))
+        plain = F.transform(plain, lambda p: F.regexp_replace(p, "[⟨⟩]", ""))
+        han = F.filter(words, lambda w: w.rlike(r"^\p{IsHan}{2,}$"))
+        cuts = F.flatten(
+            F.transform(han, lambda w: F.flatten(F.transform(F.sequence(F.lit(1), F.length(w)), lambda i: F.transform(F.sequence(F.lit(2), F.lit(_HAN)), lambda n: F.substring(w, i, n)))))
+        )
+        return F.array_distinct(F.concat(plain, cuts))
+
+    return F.flatten(F.transform(F.array(listed), phrases))  # the words are found once
 
 
 def convert_units(
-    readings: DataFrame, notes: DataFrame, row_id: str, recording: str, fields: dict[str, tuple[str, str, str]], note: str
+    readings: DataFrame, notes: DataFrame, row_id: str, recording: str, fields: dict[str, tuple[str, str, str]], note: str, max_broadcast_rows: int = 500_000
 ) -> DataFrame:
     """Every readable value in the base unit of its quantity.
 
@@ -116,36 +130,49 @@ def convert_units(
     where nothing is labelled).  Values that are null, blank or no number have no row; repeated rows
     count once; several notes of a recording are all searched; empty tables give an empty result;
     other columns are ignored.
+
+    The texts are read twice.  The first reading leaves, per recording and distinct spelling, a count
+    and a sum of logarithms, summed before the exchange and written to the checkpoint folder: aliases,
+    the usual size and the units of unit-less recordings are all decided on that table.  The second
+    reading joins its decisions to the rows.
     """
     spark = readings.sparkSession
-    keyed = readings.select(F.col(row_id).alias("id"), F.col(recording).alias("rec"), *[tidy(F.col(c).cast("string")).alias(f"{n}{i}") for i, (v, u, _) in enumerate(fields.values()) for n, c in (("v", v), ("u", u))])
-    stacked = F.explode(F.array(*[
-        F.struct(F.lit(f).alias("field"), F.lit(q).alias("quantity"), number_of(F.col(f"v{i}")).alias("x"), F.coalesce(F.when(F.col(f"u{i}") != "", F.col(f"u{i}")), unit_text_of(F.col(f"v{i}"))).alias("spelling"))
-        for i, (f, (_, _, q)) in enumerate(fields.items())
+    pairs = F.explode(F.array(*[
+        F.struct(F.lit(f).alias("field"), F.lit(q).alias("quantity"), F.col(v).cast("string").alias("v"), F.col(u).cast("string").alias("u")) for f, (v, u, q) in fields.items()
     ])).alias("r")
-    rows = keyed.select("id", "rec", stacked).select("id", "rec", "r.*").where("x is not null and not isnan(x) and abs(x) < 1e300")
+    raw = readings.select(F.col(row_id).alias("id"), F.col(recording).cast("string").alias("rec"), pairs).select("id", "rec", "r.field", "r.quantity", "r.v", "r.u")
+    parsed = split_numbers(raw.where("v is not null").withColumns({"v": tidy(F.col("v")), "u": tidy(F.col("u"))}), "v")
+    spelling = F.coalesce(F.when(F.col("u") != "", F.col("u")), "rest").alias("spelling")
+    rows = parsed.where("x is not null and not isnan(x) and abs(x) < 1e300").select("id", "rec", "field", "quantity", "x", spelling)
     quantities = sorted({q for _, _, q in fields.values()})
-    phrases = notes.select(F.col(recording).alias("rec"), F.explode(phrases_of(tidy(F.col(note)))).alias("spelling")).distinct()
+    phrases = notes.select(F.col(recording).cast("string").alias("rec"), F.explode(phrases_of(tidy(F.col(note)))).alias("spelling")).distinct()
     in_notes = phrases.select(F.explode(F.array(*map(F.lit, quantities))).alias("quantity"), "spelling")
-    asked = rows.where("spelling is not null").select("quantity", "spelling").distinct()
-    alias = unit_aliases(asked)
+    size = F.when(F.col("x") != 0, F.ln(F.abs("x")))
+    used = cut_lineage(rows.groupBy("rec", "quantity", "spelling").agg(F.sum(size).alias("logs"), F.count(size).alias("n")))
+    alias = unit_aliases(used.select("quantity", "spelling"))
     note_alias = unit_aliases(in_notes, tolerance=0.1)
     noted = (
-        phrases.join(note_alias, "spelling").groupBy("rec", "quantity").agg(F.max_by(F.struct("unit", "factor"), F.struct(F.length("spelling"), "spelling")).alias("n"))
+        phrases.join(note_alias, "spelling").groupBy("rec", "quantity").agg(F.max_by(F.struct("unit", "factor"), F.struct(F.length("spelling"), "spelling")).alias("n_unit"))
     )
-    named = rows.join(alias, ["quantity", "spelling"], "left").join(noted, ["rec", "quantity"], "left")
+    named = used.join(alias, ["quantity", "spelling"], "left").join(noted, ["rec", "quantity"], "left")
     silent = F.col("spelling").isNull()
-    known = named.select(
-        "id", "rec", "field", "quantity", "x", (silent & F.col("n").isNull()).alias("bare"),
-        F.when(silent, F.col("n.unit")).otherwise(F.col("unit")).alias("unit"), F.when(silent, F.col("n.factor")).otherwise(F.col("factor")).alias("factor"),
-    )
-    size = F.ln(F.abs("x"))
-    usual = known.where("not bare and x <> 0 and factor is not null").groupBy("quantity").agg(F.avg(F.ln(F.abs(F.col("x") * F.col("factor")))).alias("usual"))
-    guess = known.where("bare and x <> 0").groupBy("rec", "quantity").agg(F.avg(size).alias("level")).join(usual, "quantity", "left")
-    milli = guess.select("rec", "quantity", F.coalesce(F.col("level") - F.col("usual") > F.ln(F.lit(1000.0)) / 2, F.lit(False)).alias("milli"))
+    known = cut_lineage(named.select(
+        "rec", "quantity", "spelling", "logs", "n", (silent & F.col("n_unit").isNull()).alias("bare"),
+        F.when(silent, F.col("n_unit.unit")).otherwise(F.col("unit")).alias("unit"), F.when(silent, F.col("n_unit.factor")).otherwise(F.col("factor")).alias("factor"),
+    ))
+    told = known.where("not bare and n > 0 and factor is not null")
+    usual = told.groupBy("quantity").agg((F.sum(F.col("logs") + F.col("n") * F.ln("factor")) / F.sum("n")).alias("usual"))
+    # the unit-less values of a recording are one row of the table
+    level = F.coalesce(F.col("logs") / F.col("n") - F.col("usual") > F.ln(F.lit(1000.0)) / 2, F.lit(False))
     base = spark.createDataFrame([(q, BASE[q], next(u for u, (p, f, _) in UNITS.items() if p == q and f == 1e-3)) for q in quantities], "quantity string, base string, thousandth string")
-    final = known.join(milli, ["rec", "quantity"], "left").join(F.broadcast(base), "quantity")  # base has one row per quantity
-    small = F.coalesce("milli", F.lit(False))
-    unit = F.when(F.col("bare"), F.when(small, F.col("thousandth")).otherwise(F.col("base"))).otherwise(F.col("unit"))
-    factor = F.when(F.col("bare"), F.when(small, 1e-3).otherwise(1.0)).otherwise(F.col("factor"))
-    return final.select(F.col("id").alias(row_id), "field", (F.col("x") * factor).alias("value"), unit.alias("unit")).distinct()
+    decided = known.join(F.broadcast(usual), "quantity", "left").join(F.broadcast(base), "quantity").withColumn("small", level)  # one row per quantity each
+    decided = decided.select(
+        "rec", "quantity", "spelling",
+        F.when(F.col("bare"), F.when(F.col("small"), F.col("thousandth")).otherwise(F.col("base"))).otherwise(F.col("unit")).alias("unit"),
+        F.when(F.col("bare"), F.when(F.col("small"), 1e-3).otherwise(1.0)).otherwise(F.col("factor")).alias("factor"),
+    )
+    # nulls are joined as values; where the table is too large to broadcast, an adaptive join splits hot recordings
+    keys = [F.coalesce("rec", F.lit("")).alias("rec"), F.col("rec").isNull().alias("no_rec"), "quantity", F.coalesce("spelling", F.lit("")).alias("spelling")]
+    small = broadcast_if_small(decided.select(*keys, "unit", "factor"), known.count(), max_broadcast_rows)
+    final = rows.select("id", "field", "x", *keys).join(small, ["rec", "no_rec", "quantity", "spelling"])
+    return final.select(F.col("id").alias(row_id), "field", (F.col("x") * F.col("factor")).alias("value"), "unit").distinct()

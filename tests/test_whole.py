@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rillframe.operators import outliers
 from rillframe.operators.outliers import interventions
-from rillframe.operators.units import phrases_of
+from rillframe.operators.units import convert_units, phrases_of
 from rillframe.plans import catalog
 from rillframe.streaming.batches import count_batches, last_batches
 
@@ -98,3 +98,11 @@ def test_spikes_come_from_the_interventions(monkeypatch):
     for useless in (np.ones((n, 1)), np.zeros((n, 1))):
         monkeypatch.setattr(outliers, "interventions", lambda x, *_, e=useless: (e, np.zeros(x.shape)))
         assert spikes() == set()
+
+
+def test_unit_at_the_end_of_a_long_note(spark):
+    """A note of fifty characters without punctuation, and a spelling longer than any name of a unit."""
+    notes = spark.createDataFrame([("a", "测" * 45 + "公斤力厘米"), ("b", "in kilogram force centi metres here")], "bag string, note string")
+    df = spark.createDataFrame([(1, "a", "5", None), (2, "b", "5", None), (3, "a", "5", "newton - - - - - - - - - - - - - - - - - - - - - - - - - - - - - - - - - - - metres")], "id long, bag string, v string, u string")
+    got = {r.id: (round(r.value, 7), r.unit) for r in convert_units(df, notes, "id", "bag", {"v": ("v", "u", "torque")}, "note").where("value is not null").collect()}
+    assert got[1] == (0.4903325, "kgf·cm") and got[2] == (0.4903325, "kgf·cm") and got[3] == (5.0, "N·m")
