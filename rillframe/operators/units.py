@@ -23,29 +23,34 @@ def tidy(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.translate(text, "−", "-"), _ODD_SPACE, " "))
 
 
-def split_numbers(df: DataFrame, text: str) -> DataFrame:
-    """Adds ``x``, the leading number of a tidy text (null if there is none), and ``rest``, what follows it (null if nothing does).
+def _let(value: Column, f) -> Column:
+    """f(value) with the value computed once, also where the optimizer copies the expression."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
+def number_of(digits: Column) -> Column:
+    """The number that digits, marks and an exponent write, null for none or one that is too large.
 
     A single comma is a decimal comma; where points and commas both occur the last one is the decimal
-    mark; several equal marks separate thousands.  Each step is a projection of its own, so that no
-    pattern is searched twice.
+    mark; several equal marks separate thousands.
     """
-    digits, mantissa = F.col("_digits"), F.col("_mantissa")
-    df = df.withColumn("_digits", F.regexp_extract(text, _NUMBER, 1))
-    rest = F.ltrim(F.substring(F.col(text), F.length(digits) + 1, F.length(text)))
-    df = df.withColumn("rest", F.when((digits != "") & (rest != ""), rest)).withColumn("_mantissa", F.substring_index(F.translate(digits, "E", "e"), "e", 1))
-    df = df.withColumns({n: F.length(mantissa) - F.length(F.translate(mantissa, mark, "")) for n, mark in (("_commas", ","), ("_points", "."))})
-    commas, points = F.col("_commas"), F.col("_points")
-    comma_last = F.locate(",", F.reverse(mantissa)) < F.locate(".", F.reverse(mantissa))
-    decimal_comma = ((commas == 1) & (points == 0)) | ((points > 0) & (commas > 0) & comma_last)
-    plain = (
-        F.when((points <= 1) & (commas == 0), mantissa)
-        .when(decimal_comma, F.translate(F.translate(mantissa, ".", ""), ",", "."))
-        .when((points > 1) & (commas == 0), F.translate(mantissa, ".", ""))
-        .otherwise(F.translate(mantissa, ",", ""))
-    )
-    x = F.concat(plain, F.substring(digits, F.length(mantissa) + 1, F.length(digits))).try_cast("double")
-    return df.withColumn("x", x).drop("_digits", "_mantissa", "_commas", "_points")
+
+    def read(mantissa: Column) -> Column:
+        commas, points = (F.length(mantissa) - F.length(F.translate(mantissa, mark, "")) for mark in (",", "."))
+        comma_last = F.locate(",", F.reverse(mantissa)) < F.locate(".", F.reverse(mantissa))
+        decimal_comma = ((commas == 1) & (points == 0)) | ((points > 0) & (commas > 0) & comma_last)
+        plain = (
+            F.when((points <= 1) & (commas == 0), mantissa)
+            .when(decimal_comma, F.translate(F.translate(mantissa, ".", ""), ",", "."))
+            .when((points > 1) & (commas == 0), F.translate(mantissa, ".", ""))
+            .otherwise(F.translate(mantissa, ",", ""))
+        )
+        return plain
+
+    def whole(d: Column) -> Column:
+        return F.concat(_let(F.substring_index(d, "e", 1), read), F.when(d.contains("e"), F.concat(F.lit("e"), F.substring_index(d, "e", -1))).otherwise("")).try_cast("double")
+
+    return _let(_let(F.translate(digits, "E", "e"), whole), lambda x: F.when(~F.isnan(x) & (F.abs(x) < 1e300), x))
 
 
 def _bare(text: Column) -> Column:
@@ -84,9 +89,9 @@ def unit_aliases(spellings: DataFrame, tolerance: float = 0.15) -> DataFrame:
     near = shared.where(F.col("both") >= 0.4 * (F.col("m") + F.col("n") - F.col("both")))
     scored = near.withColumn("d", _distance("spelling", "name")).where(F.col("d") <= tolerance * F.greatest(F.length("spelling"), F.length("name")))
     per_unit = scored.groupBy("quantity", "spelling", "unit", "factor").agg(F.min("d").alias("d"))
-    best = per_unit.groupBy("quantity", "spelling").agg(F.min("d").alias("d"), F.min_by(F.struct("unit", "factor"), "d").alias("u"))
-    ties = per_unit.join(best.select("quantity", "spelling", "d"), ["quantity", "spelling", "d"]).groupBy("quantity", "spelling").agg(F.count("*").alias("n"))
-    return best.join(ties.where("n = 1"), ["quantity", "spelling"]).select("quantity", "spelling", "u.unit", "u.factor")
+    ranked = per_unit.groupBy("quantity", "spelling").agg(F.array_sort(F.collect_list(F.struct("d", "unit", "factor"))).alias("r"))  # as many as there are units
+    first, second = F.get("r", F.lit(0)), F.get("r", F.lit(1))
+    return ranked.where(second["d"].isNull() | (second["d"] > first["d"])).select("quantity", "spelling", first["unit"].alias("unit"), first["factor"].alias("factor"))
 
 
 _NAMES = [n for _, _, names in UNITS.values() for n in names]
@@ -141,9 +146,10 @@ def convert_units(
         F.struct(F.lit(f).alias("field"), F.lit(q).alias("quantity"), F.col(v).cast("string").alias("v"), F.col(u).cast("string").alias("u")) for f, (v, u, q) in fields.items()
     ])).alias("r")
     raw = readings.select(F.col(row_id).alias("id"), F.col(recording).cast("string").alias("rec"), pairs).select("id", "rec", "r.field", "r.quantity", "r.v", "r.u")
-    parsed = split_numbers(raw.where("v is not null").withColumns({"v": tidy(F.col("v")), "u": tidy(F.col("u"))}), "v")
-    spelling = F.coalesce(F.when(F.col("u") != "", F.col("u")), "rest").alias("spelling")
-    rows = parsed.where("x is not null and not isnan(x) and abs(x) < 1e300").select("id", "rec", "field", "quantity", "x", spelling)
+    digits = F.regexp_extract("v", _NUMBER, 1)
+    rest = _let(digits, lambda d: F.ltrim(F.substring(F.col("v"), F.length(d) + 1, F.length("v"))))
+    spelling = F.coalesce(F.when(F.col("u") != "", F.col("u")), F.when(rest != "", rest)).alias("spelling")
+    rows = raw.withColumns({"v": tidy(F.col("v")), "u": tidy(F.col("u"))}).select("id", "rec", "field", "quantity", number_of(digits).alias("x"), spelling).where("x is not null")
     quantities = sorted({q for _, _, q in fields.values()})
     phrases = notes.select(F.col(recording).cast("string").alias("rec"), F.explode(phrases_of(tidy(F.col(note)))).alias("spelling")).distinct()
     in_notes = phrases.select(F.explode(F.array(*map(F.lit, quantities))).alias("quantity"), "spelling")
