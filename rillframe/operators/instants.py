@@ -1,18 +1,24 @@
 """Instants and lengths of time written in many notations and zones, normalised to microseconds (UTC).
 
 A text is brought to one canonical form by the pattern it matches; from there come its candidate
-readings (day and month order) and candidate offsets (its zone, the meanings of its abbreviation, or
-the offset history of its place).  A missing or doubtful offset is estimated by aligning the texts of
-an entity with the entity's known window: per entity the offset with the fewest violations is chosen,
-per text the reading that lies in the window or nearest to it.
+readings (day and month order) and candidate offsets (its zone or the meanings of its abbreviation).
+The zone of texts without one is estimated per clock (say, a device): its zone-less texts are aligned
+with the known windows of their entities, and of all offset histories (those of the zones there are,
+with their clock changes, and constant offsets) the one with the least violations holds.
 """
 
 from __future__ import annotations
 
+import zoneinfo
+from datetime import UTC, datetime, timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rillframe.session import cut_lineage
+
 HOUR = 3_600_000_000
+_EPOCH_START, _FIRST, _LAST = datetime(1970, 1, 1, tzinfo=UTC), datetime(1970, 1, 8, tzinfo=UTC), datetime(2100, 1, 1, tzinfo=UTC)
 
 # Zone abbreviations and the offsets from UTC, in minutes, that they stand for
 ABBREVIATIONS = {
@@ -92,55 +98,111 @@ def written_offsets(text: Column) -> Column:
     return F.when(zone != "", F.transform(offsets, lambda m: m.cast("bigint") * 60_000_000))
 
 
-def zone_offset(zone: Column, at_us: Column) -> Column:
-    """Offset from UTC, in microseconds, of an IANA zone at an instant."""
-    utc = F.timestamp_add("MICROSECOND", at_us, F.expr("timestamp_ntz'1970-01-01 00:00:00'"))
-    return _since_epoch(F.convert_timezone(F.lit("UTC"), zone, utc)) - at_us
+def _micros_of(t: datetime) -> int:
+    return (t - _EPOCH_START) // timedelta(microseconds=1)
+
+
+def _changes(zone: zoneinfo.ZoneInfo, first: datetime, last: datetime) -> tuple[tuple[int, int], ...]:
+    """(since, offset) of a zone's clock from ``first`` on, in microseconds; the first one holds before, too."""
+    offset = lambda t: t.astimezone(zone).utcoffset()
+    out, t, now = [(-(1 << 62), offset(first))], first, offset(first)
+    while t < last:
+        step = min(t + timedelta(days=7), last)
+        if (then := offset(step)) != now:  # no zone changes its clock twice within a week and comes back
+            a, b = t, step
+            while b - a > timedelta(seconds=1):
+                mid = a + (b - a) // 2
+                a, b = (mid, b) if offset(mid) == now else (a, mid)
+            out.append((_micros_of(b.replace(microsecond=0)), then))
+            now = then
+        t = step
+    return tuple((since, o // timedelta(microseconds=1)) for since, o in out)
+
 
+def offset_histories(low: int, high: int) -> tuple[list[tuple[int, int, int, int]], dict[str, int]]:
+    """Rows (history, since, until, offset) of the distinct offset histories between two instants, and each zone's history.
 
-def normalise_instants(texts: DataFrame, windows: DataFrame, row_id: str, entity: str, fields: list[str]) -> DataFrame:
+    Histories are those of all zones of the tz database and the constant offsets in quarters of an hour.
+    Their number depends on the tz database, that of their changes on the time between the instants.
+    """
+    clip = lambda us: min(max(_EPOCH_START + timedelta(microseconds=min(max(us, 0), 4_000_000_000_000_000)), _FIRST), _LAST)
+    first, last = clip(low) - timedelta(days=2), clip(high) + timedelta(days=2)
+    known: dict[tuple, int] = {}
+    zones = {z: known.setdefault(_changes(zoneinfo.ZoneInfo(z), first, last), len(known)) for z in sorted(zoneinfo.available_timezones())}
+    for quarter in range(-48, 57):
+        known.setdefault(((-(1 << 62), quarter * HOUR // 4),), len(known))
+    rows = [(k, a, b, o) for h, k in known.items() for (a, o), b in zip(h, [x[0] for x in h[1:]] + [1 << 62])]
+    return rows, zones
+
+
+def estimate_histories(unsure: DataFrame, doubt: float = 0.02) -> DataFrame:
+    """(clock, history) with the offset history, an array of (since, until, o), that violates the windows of a clock's texts least.
+
+    ``unsure`` has a row per zone-less text: (clock, zone, low, high, walls), its candidate wall-clock
+    readings and the window of its entity.  The violation of a text is the distance of its nearest reading
+    from the window, at most two days; they are summed per window and offset before the exchange.  The
+    zone stated for a clock (``zone``) is one of the candidates: another history needs so much evidence
+    against it that it saves an hour in the share ``doubt`` of the texts.  Of equal histories that with
+    fewer changes, then the smaller offset holds.
+    """
+    spark = unsure.sparkSession
+    span = unsure.agg(F.min("low").alias("a"), F.max("high").alias("b")).first()  # two numbers
+    rows, zones = offset_histories(span.a or 0, span.b or 0)
+    histories = spark.createDataFrame(rows, "h int, since bigint, until bigint, o bigint")
+    offsets = F.array(*[F.lit(o).cast("bigint") for o in sorted({r[3] for r in rows})])
+    # every offset of every text, map-side summed
+    far = lambda v: F.greatest(F.col("low") - v, v - F.col("high"), F.lit(0).cast("bigint"))
+    cost = F.least(F.array_min(F.transform("walls", lambda w: far(w - F.col("o")))), F.lit(48 * HOUR))
+    tried = unsure.select("clock", "zone", "low", "high", "walls", F.explode(offsets).alias("o"))
+    sums = tried.groupBy("clock", "low", "high", "o").agg(F.sum(cost).alias("cost"), F.count("*").alias("n"), F.max("zone").alias("zone"))
+    middle = F.col("low") + F.call_function("div", F.col("high") - F.col("low"), F.lit(2).cast("bigint"))
+    # one offset of each history holds in the middle of a window; the histories are as many as the tz database gives
+    scored = sums.withColumn("m", middle).join(F.broadcast(histories), "o").where("m >= since and m < until")
+    totals = scored.groupBy("clock", "h").agg(F.sum("cost").alias("cost"), F.sum("n").alias("n"), F.max("zone").alias("zone"))
+    stated = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in zones.items() for x in kv]), F.col("zone")) == F.col("h"), F.lit(False))
+    shape = F.broadcast(histories.groupBy("h").agg(F.count("*").alias("changes"), F.min(F.abs("o")).alias("least"), F.array_sort(F.collect_list(F.struct("since", "until", "o"))).alias("history")))
+    rank = F.struct(F.col("cost") + F.when(stated, 0.0).otherwise(doubt * HOUR * F.col("n")), "changes", "least", "h")
+    return totals.join(shape, "h").groupBy("clock").agg(F.min_by("history", rank).alias("history"))
+
+
+def normalise_instants(texts: DataFrame, windows: DataFrame, row_id: str, entity: str, fields: list[str], clock: str | None = None) -> DataFrame:
     """(row_id, field, value_us) for every text of ``fields`` that can be read as an instant.
 
     ``windows`` has one row per entity with (entity, low, high, zone): the microseconds UTC between
-    which the entity's instants are expected, and the IANA zone of its wall clock or null.  A text with
-    a zone keeps it.  One with an abbreviation takes that meaning, and one whose day and month can be
-    exchanged that order, which puts it into the window or nearest to it.  Without a zone, the offsets
-    the entity's zone has around the window are tried (in a doubtful hour both); where the zone is not
-    known, the offset in steps of a quarter of an hour that gives the entity's zone-less texts the
-    least total violation of the window.  Fractions beyond microseconds are cut.
+    which the entity's instants are expected, and the IANA zone stated for its wall clock or null; the
+    column ``clock``, where given, names the clock that several entities share (else, or where it is
+    null, an entity has its own).  A text with a zone keeps it.  One with an abbreviation takes that
+    meaning, and one whose day and month can be exchanged that order, which puts it into the window or
+    nearest to it.  Texts without a zone take the offset that their clock's history, as estimated by
+    :func:`estimate_histories`, has at that time; in a doubtful hour both offsets are tried, and in an
+    hour that the clock left out those around it.  Fractions beyond microseconds are cut.
 
     Null, blank and junk texts and impossible dates have no row; nor have zone-less texts of entities
     without a window (others are read without one); repeated rows count once; empty tables give an
     empty result; other columns are ignored.
     """
-    spans = windows.select(F.col(entity).alias("ent"), "low", "high", "zone").dropna(subset=["ent", "low", "high"])
-    around = F.array(*[zone_offset(F.col("zone"), F.col(c) + F.lit(s)) for c, s in (("low", 0), ("high", 0), ("low", -6 * HOUR), ("high", 6 * HOUR))])
-    spans = spans.withColumn("history", F.when(F.col("zone").isNotNull(), F.array_distinct(around)))
+    own_clock = F.concat(F.lit("="), F.col(entity).cast("string"))
+    shared = F.coalesce(F.concat(F.lit("c"), F.col(clock).cast("string")), own_clock) if clock else own_clock
+    spans = windows.select(F.col(entity).alias("ent"), F.col("low").cast("bigint").alias("low"), F.col("high").cast("bigint").alias("high"), "zone", shared.alias("clock")).dropna(subset=["ent", "low", "high"])
     cells = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), tidy(F.col(f)).alias("text")) for f in fields])).alias("c")
     rows = texts.select(F.col(row_id).alias("id"), F.col(entity).alias("ent"), cells).select("id", "ent", "c.*").where("text is not null and text <> ''").distinct()
     rows = rows.withColumns({"epoch": epoch_number(F.col("text")), "walls": wall_clock_readings(F.col("text")), "own": written_offsets(F.col("text"))})
-    rows = rows.where((F.col("epoch").isNotNull()) | (F.size("walls") > 0))
-    seen = rows.join(spans, "ent", "left")
+    rows = rows.where((F.col("epoch").isNotNull()) | (F.size("walls") > 0)).drop("text")
+    # the texts are read once, for the estimate and for the result
+    seen = cut_lineage(rows.join(spans, "ent", "left"))
+    found = estimate_histories(seen.where("epoch is null and own is null and low is not null"))
+    ready = seen.join(found, "clock", "left")
 
     def off(v: Column) -> Column:
         return F.coalesce(F.greatest(F.col("low") - v, v - F.col("high"), F.lit(0)), F.lit(0)).cast("bigint")
 
-    # the offset an entity's zone-less texts agree on: total violation per offset, summed before the exchange
-    quarter = F.transform(F.sequence(F.lit(-48), F.lit(56)), lambda i: i.cast("bigint") * 15 * 60_000_000)
-    unsure = seen.where("epoch is null and own is null and low is not null")
-    tried = unsure.select("ent", "low", "high", "walls", F.explode(F.coalesce("history", quarter)).alias("o"))
-    cost = F.least(F.array_min(F.transform("walls", lambda w: off(w - F.col("o")))), F.lit(48 * HOUR))
-    agreed = tried.groupBy("ent", "o").agg(F.sum(cost).alias("cost"), F.count("*").alias("n")).groupBy("ent").agg(F.min_by("o", F.struct("cost", F.abs("o"), "o")).alias("agreed"))
-    ready = seen.join(agreed, "ent", "left")
-
-    def legal(o: Column) -> Column:  # wall clock readings that the zone really had at this offset
-        return F.exists("walls", lambda w: zone_offset(F.col("zone"), w - o) == o)
-
-    lawful = F.filter("history", legal)
-    placed = F.when(F.col("zone").isNull(), F.array("agreed")).when(F.size(lawful) > 0, lawful).otherwise(F.col("history"))
+    holds = lambda h: F.exists("walls", lambda w: (w - h["o"] >= h["since"]) & (w - h["o"] < h["until"]))
+    lawful = F.filter("history", holds)
+    around = F.filter("history", lambda h: (h["since"] <= F.col("high") + 24 * HOUR) & (h["until"] > F.col("low") - 24 * HOUR))
+    placed = F.transform(F.when(F.size(lawful) > 0, lawful).otherwise(around), lambda h: h["o"])
     offsets = F.when(F.col("own").isNotNull(), F.col("own")).when(F.col("low").isNotNull(), placed)
     ready = ready.withColumn("offsets", offsets)
-    choices = F.flatten(F.transform("walls", lambda w: F.transform("offsets", lambda o: F.struct(off(w - o).alias("far"), (F.coalesce(F.col("agreed"), o) != o).alias("odd"), (w - o).alias("at")))))
+    choices = F.flatten(F.transform("walls", lambda w: F.transform("offsets", lambda o: F.struct(off(w - o).alias("far"), (w - o).alias("at")))))
     value = F.when(F.col("epoch").isNotNull(), F.col("epoch")).otherwise(F.array_min(choices)["at"])
     return ready.select(F.col("id").alias(row_id), "field", value.alias("value_us")).where("value_us is not null").distinct()
 

@@ -80,7 +80,7 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     devices = table(spark, d, "devices").groupBy("device_sn").agg(F.max("time_zone").alias("zone"))
     recordings = table(spark, d, "recordings").groupBy("bag_id").agg(F.max("device_sn").alias("device_sn"), F.min("start_us").alias("low"), F.max("end_us").alias("high"))
     windows = recordings.join(devices, "device_sn", "left")
-    instants = normalise_instants(marks, windows, "mark_id", "bag_id", ["mark_start", "mark_end", "trigger_time"])
+    instants = normalise_instants(marks, windows, "mark_id", "bag_id", ["mark_start", "mark_end", "trigger_time"], clock="device_sn")
     lengths = marks.select("mark_id", F.lit("duration").alias("field"), length_us(F.col("duration")).alias("value_us")).where("value_us is not null").distinct()
     return instants.unionByName(lengths)
 

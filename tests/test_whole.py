@@ -1,11 +1,14 @@
 """Whole results: nothing of the input is left out."""
 
+import zoneinfo
+from datetime import UTC, datetime
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from rillframe.operators import outliers
+from rillframe.operators import instants, outliers
 from rillframe.operators.outliers import interventions
 from rillframe.operators.units import convert_units, phrases_of
 from rillframe.plans import catalog
@@ -106,3 +109,25 @@ def test_unit_at_the_end_of_a_long_note(spark):
     df = spark.createDataFrame([(1, "a", "5", None), (2, "b", "5", None), (3, "a", "5", "newton - - - - - - - - - - - - - - - - - - - - - - - - - - - - - - - - - - - metres")], "id long, bag string, v string, u string")
     got = {r.id: (round(r.value, 7), r.unit) for r in convert_units(df, notes, "id", "bag", {"v": ("v", "u", "torque")}, "note").where("value is not null").collect()}
     assert got[1] == (0.4903325, "kgf·cm") and got[2] == (0.4903325, "kgf·cm") and got[3] == (5.0, "N·m")
+
+
+def test_withheld_zones_are_estimated(spark, monkeypatch):
+    """Texts of three clocks, over changes of the clock, without any stated zone; one clock states a wrong one."""
+    zones = {"a": "Europe/Berlin", "b": "Asia/Kolkata", "c": "America/New_York", "w": "Asia/Tokyo"}
+    rng, windows, texts, want = np.random.default_rng(5), [], [], {}
+    for k, zone in zones.items():
+        for i in range(60):
+            low = 1_753_000_000_000_000 + i * 3 * 24 * instants.HOUR + int(rng.integers(24 * instants.HOUR))
+            windows.append((f"{k}{i}", k, low, low + 600_000_000, "Europe/Paris" if k == "w" else None))
+            for j in range(4):
+                at = low + int(rng.integers(600)) * 1_000_000
+                wall = datetime.fromtimestamp(at / 1e6, UTC).astimezone(zoneinfo.ZoneInfo(zone))
+                texts.append((len(texts), f"{k}{i}", wall.strftime(["%Y-%m-%d %H:%M:%S", "%d.%m.%Y %H:%M:%S"][j % 2])))
+                want[texts[-1][0]] = at // 1_000_000 * 1_000_000
+    df = spark.createDataFrame(texts, "id long, bag string, x string")
+    win = spark.createDataFrame(windows, "bag string, dev string, low long, high long, zone string")
+    share = lambda: np.mean([want[r.id] == r.value_us for r in instants.normalise_instants(df, win, "id", "bag", ["x"], clock="dev").collect()])
+    assert share() >= 0.99
+    none = spark.createDataFrame([(f"c{k}", [(-(1 << 62), 1 << 62, 0)]) for k in zones], "clock string, history array<struct<since:bigint,until:bigint,o:bigint>>")
+    monkeypatch.setattr(instants, "estimate_histories", lambda unsure: none)
+    assert share() < 0.5
