@@ -1,5 +1,60 @@
 """DuckDB twins of the p queries that SQL can state."""
 
+from rillframe.operators.instants import _LENGTHS, ABBREVIATIONS, MONTHS
+
+# p6: texts to candidate wall clocks (microseconds), offsets from the text or from the site's zone, and the choice nearest to the recording
+_TIME, _ZONE = r"(\d{1,2}):(\d{2})(?::(\d{2})(?:[.,](\d+))?)? ?([AaPp][Mm])?", r" ?([Zz]|[+-]\d{2}(?::?\d{2})?|[A-Za-z]{2,5})?"
+_FORMS = [
+    (rf"^(\d{{4}})[-/.年](\d{{1,2}})[-/.月](\d{{1,2}})日?[Tt ]? ?{_TIME}{_ZONE}$", "y,m,d,h,i,s,f,ap,z"),
+    (rf"^(\d{{4}})(\d{{2}})(\d{{2}})[Tt ](\d{{2}})(\d{{2}})(\d{{2}})(?:[.,](\d+))?(){_ZONE}$", "y,m,d,h,i,s,f,ap,z"),
+    (rf"^(\d{{1,2}})[./-](\d{{1,2}})[./-](\d{{4}}),?[Tt ] ?{_TIME}{_ZONE}$", "d,m,y,h,i,s,f,ap,z"),
+    (rf"^(?:[A-Za-z]{{2,9}},? )?(\d{{1,2}}) ([A-Za-z]{{3}})[a-z]*\.? (\d{{4}}) {_TIME}{_ZONE}$", "d,m,y,h,i,s,f,ap,z"),
+]
+
+
+def _text_form(n: int) -> str:
+    pattern, names = _FORMS[n]
+    return f"regexp_extract(text, '{pattern}', [{', '.join(repr(x) for x in names.split(','))}])"
+
+
+def _tidy(c: str) -> str:
+    return rf"trim(regexp_replace(replace({c}, '−', '-'), '[\x{{00a0}}\x{{2007}}\x{{2009}}\x{{202f}}\s]+', ' ', 'g'))"
+
+
+_ABBR = "map {" + ", ".join(f"'{k}': {v}" for k, v in ABBREVIATIONS.items()) + "}"
+_MONTH = "list_position(" + repr(MONTHS) + ", lower(g.m))"
+_OFF = "epoch_us(timezone(zone, make_timestamptz({0}))) - ({0})"
+_WALL = (
+    "epoch_us(try_cast(printf('%04d-%02d-%02d %02d:%02d:%02d', try_cast(g.y as int), {m}, {d}, case lower(g.ap) when 'pm' then try_cast(g.h as int) % 12 + 12 when 'am' then try_cast(g.h as int) % 12 else try_cast(g.h as int) end, try_cast(g.i as int), "
+    "case when g.s = '' then 0 else try_cast(g.s as int) end) as timestamp)) + case when g.f = '' then 0 else rpad(g.f[1:6], 6, '0')::bigint end"
+)
+_LENGTH_MAP = "map {" + ", ".join(f"'{n}': {float(f)}" for f, ns in _LENGTHS.items() for n in ns) + "}"
+_NUM = r"\d+(?:\.\d+)?|\.\d+"
+_P6 = rf"""with cells as (select distinct mark_id, bag_id, field, {_tidy('raw')} as text from (
+   select mark_id, bag_id, unnest(['mark_start','mark_end','trigger_time']) field, unnest([mark_start, mark_end, trigger_time]) raw from marks) where raw is not null),
+ e as (select *, regexp_extract(text, '^(\d{{9,20}})(?:\.(\d+))?$', ['w','f']) n, case {' '.join(f"when regexp_matches(text, '{p}') then {i}" for i, (p, _) in enumerate(_FORMS))} end form from cells),
+ p as (select *, case form {' '.join(f"when {i} then {_text_form(i)}" for i in range(4) if i < 2)} end as a, case form {' '.join(f"when {i} then {_text_form(i)}" for i in (2, 3))} end as b from e),
+ q as (select *, case when form < 2 then {{'y': a.y, 'm': a.m, 'd': a.d, 'h': a.h, 'i': a.i, 's': a.s, 'f': a.f, 'ap': a.ap, 'z': a.z}} when form >= 2 then {{'y': b.y, 'm': b.m, 'd': b.d, 'h': b.h, 'i': b.i, 's': b.s, 'f': b.f, 'ap': b.ap, 'z': b.z}} end as g from p),
+ w as (select mark_id, bag_id, field, n, g.z as z, case when length(n.w) between 9 and 11 then n.w::hugeint * 1000000 + case when n.f = '' then 0 else rpad(n.f[1:6], 6, '0')::bigint end when length(n.w) between 12 and 14 then n.w::hugeint * 1000 + case when n.f = '' then 0 else rpad(n.f[1:3], 3, '0')::bigint end
+     when length(n.w) between 15 and 17 then n.w::hugeint when length(n.w) >= 18 then n.w::hugeint // 1000 end as epoch,
+   case when form is null or (g.ap <> '' and try_cast(g.h as int) not between 1 and 12) then [] when form = 2 then [{_WALL.format(m='try_cast(g.m as int)', d='try_cast(g.d as int)')}, {_WALL.format(m='try_cast(g.d as int)', d='try_cast(g.m as int)')}]
+     when form = 3 then [case when {_MONTH} > 0 then {_WALL.format(m=_MONTH, d='try_cast(g.d as int)')} end] else [{_WALL.format(m='try_cast(g.m as int)', d='try_cast(g.d as int)')}] end as walls from q),
+ r as (select bag_id, max(device_sn) device_sn, min(start_us) low, max(end_us) high from recordings group by 1),
+ s as (select w.*, low, high, (select max(time_zone) from devices d where d.device_sn = r.device_sn) as zone, unnest(case when epoch is not null then [null] else walls end) as wall from w left join r using (bag_id)),
+ o as (select *, case when z is null or z = '' then case when low is null or zone is null then [] else list_distinct([{_OFF.format('low')}, {_OFF.format('high')}, {_OFF.format('(low - 21600000000)')}, {_OFF.format('(high + 21600000000)')}]) end
+     when regexp_matches(z, '^[+-]') then [(case when z[1] = '-' then -1 else 1 end) * (regexp_replace(z, '[^0-9]', '', 'g')[1:2]::bigint * 60 + coalesce(try_cast(regexp_replace(z, '[^0-9]', '', 'g')[3:4] as bigint), 0)) * 60000000]
+     else list_transform(coalesce({_ABBR}[upper(z)], []), lambda x: x::bigint * 60000000) end as offs from s where epoch is not null or wall is not null),
+ x as (select *, unnest(case when epoch is not null then [0::bigint] else offs end) as off from o),
+ y as (select *, coalesce(epoch, wall - off)::bigint as inst, epoch is null and coalesce(z, '') = '' and {_OFF.format('(wall - off)')} <> off as unlawful from x),
+ k as (select mark_id, field, inst, row_number() over (partition by mark_id, bag_id, field, n, z, walls order by unlawful, coalesce(greatest(low - inst, inst - high, 0), 0), inst) rn from y)
+ select distinct mark_id, field, inst as value_us from k where rn = 1
+ union all select distinct mark_id, 'duration', cast(round(us) as bigint) from (select mark_id, coalesce(
+   case when regexp_matches(t, '^\+?(?:{_NUM})$') then try_cast(t as double) * 1000000 end,
+   case when regexp_matches(t, '^(?:\d+:)?\d{{1,2}}:\d{{1,2}}(?:\.\d+)?$') then list_sum(list_transform(list_reverse(string_split(t, ':')), lambda v, i: v::double * [1, 60, 3600][i])) * 1000000 end,
+   case when length(t) > 2 and regexp_matches(t, '^p(?:\d+d)?(?:t(?:\d+h)?(?:\d+m)?(?:\d+(?:\.\d+)?s)?)?$') then {' + '.join(f"coalesce(try_cast(regexp_extract(t, '{v}', 1) as double), 0) * {f}" for v, f in ((r'(\d+)d', 86_400_000_000), (r'(\d+)h', 3_600_000_000), (r'(\d+)m', 60_000_000), (r'(\d+(?:\.\d+)?)s', 1_000_000)))} end,
+   case when regexp_matches(t, '^(?:(?:{_NUM}) ?[a-zµμ\p{{Han}}]+\.? ?)+$') then list_sum(list_transform(regexp_extract_all(t, '({_NUM}) ?[a-zµμ\p{{Han}}]+\.?', 1), lambda v, i: v::double * {_LENGTH_MAP}[regexp_extract_all(t, '(?:{_NUM}) ?([a-zµμ\p{{Han}}]+)\.?', 1)[i]])) end) us, 
+   t from (select mark_id, regexp_replace(lower({_tidy('duration')}), '(\d),(\d)', '\1.\2', 'g') t from marks where duration is not null)) where us is not null"""
+
 ORACLES = {
     "p1_found": """with s as (select distinct bag_id, cast(round(step_start*1000000) as bigint) s, cast(round(step_end*1000000) as bigint) e from steps where step_end>step_start),
  m as (select *, max(e) over (partition by bag_id order by s,e rows between unbounded preceding and 1 preceding) r from s),
@@ -18,4 +73,5 @@ ORACLES = {
  s as (select distinct bag_id, topic from m),
  a as (select s.bag_id, s.topic, unnest(range(0, cast(((end_us-start_us)*fps)//(j*1000000) as bigint))) as slot from s join g using(bag_id))
  select a.bag_id,a.topic,a.slot from a anti join (select bag_id,topic,cast(floor((t-start_us)*fps/(j*1000000.0)) as bigint) slot from m join g using (bag_id)) o on a.bag_id=o.bag_id and a.topic=o.topic and a.slot=o.slot""",
+    "p6_found": _P6,
 }
