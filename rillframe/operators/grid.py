@@ -46,7 +46,9 @@ def regular_grid(
     give no slots; empty tables give an empty result.
 
     The readings are exchanged once, by (entity, chunk of time), so an entity with most of the rows is
-    spread over its chunks; neighbours across chunks are found from two readings a chunk.
+    spread over its chunks, and put in order once.  Both what follows from neighbours inside a chunk and the
+    first and last reading of each chunk are taken from there; the latter, two rows a chunk, meet those of
+    the next chunk in a second, small exchange.
     """
     width = F.lit(chunk).cast("bigint")
     kind = recordings.schema[entity].dataType
@@ -59,33 +61,26 @@ def regular_grid(
     rows = rows.withColumn("chunk", floor_div(F.col("t"), width))
     within = rows.join(chunks, ["entity", "chunk"], "left").withColumn("inside", F.coalesce(F.col("t").between(F.col("start"), F.col("stop") - 1), F.lit(False)))
 
-    side = F.struct("t", "v")
-    edges = within.groupBy("entity", "source", "chunk").agg(
-        F.min(F.when(F.col("inside"), F.col("t"))).alias("low"),
-        F.min_by(side, F.when(F.col("inside"), F.struct("t", "v"))).alias("first"),
-        F.max_by(side, F.when(F.col("inside"), F.struct("t", "v"))).alias("last"),
+    by_time = Window.partitionBy("entity", "source", "chunk", "inside").orderBy("t", "v")
+    ordered = within.select(
+        "entity", "source", "chunk", "inside", "start", "stop", "rate", "per", F.col("t").alias("t0"), F.col("v").alias("v0"),
+        F.lead("t").over(by_time).alias("t1"), F.lead("v").over(by_time).alias("v1"), F.row_number().over(by_time).alias("n"),
     )
-    by_time = Window.partitionBy("entity", "source", "chunk").orderBy("t", "v")
-    inner = within.where("inside").select(
-        "entity", "source", *("start", "stop", "rate", "per"),
-        F.col("t").alias("t0"), F.col("v").alias("v0"), F.lead("t").over(by_time).alias("t1"), F.lead("v").over(by_time).alias("v1"),
-    ).where("t1 is not null")
-
-    by_chunk = Window.partitionBy("entity", "source").orderBy("chunk")
-    ends = edges.where("low is not null").join(spans, "entity")
     span = ("start", "stop", "rate", "per")
-    head = ends.withColumn("n", F.row_number().over(by_chunk)).where("n = 1").select(
-        "entity", "source", *span, F.lit(None).cast("bigint").alias("t0"), F.lit(None).cast("array<double>").alias("v0"), F.col("first.t").alias("t1"), F.col("first.v").alias("v1")
-    )
-    cross = ends.withColumn("next", F.lead("first").over(by_chunk)).select(
-        "entity", "source", *span, F.col("last.t").alias("t0"), F.col("last.v").alias("v0"), F.col("next.t").alias("t1"), F.col("next.v").alias("v1")
-    )
-    silent = (  # only readings outside the recording: every slot is empty
-        edges.groupBy("entity", "source").agg(F.max("low").alias("low")).where("low is null").join(spans, "entity").select(
-            "entity", "source", *span, *[F.lit(None).cast(k).alias(c) for c, k in (("t0", "bigint"), ("v0", "array<double>"), ("t1", "bigint"), ("v1", "array<double>"))]
-        )
-    )
-    gaps = inner.unionByName(head).unionByName(cross).unionByName(silent)
+    gap = ("entity", "source", *span, "t0", "v0", "t1", "v1")
+    inner = ordered.where("inside and t1 is not null").select(*gap)
+    # first and last readings of chunks; of those outside the recording one a chunk
+    ends = ordered.where("n = 1 or (inside and t1 is null)").select("entity", "source", "chunk", "inside", F.col("t0").alias("t"), F.col("v0").alias("v"), (F.col("n") == 1).alias("first"), (F.col("inside") & F.col("t1").isNull()).alias("last"))
+    by_chunk = Window.partitionBy("entity", "source").orderBy(F.col("inside").desc(), "chunk", "last")
+    linked = ends.select("*", F.row_number().over(by_chunk).alias("n"), *[F.lead(F.when(F.col("inside"), F.col(c))).over(by_chunk).alias(f"{c}1") for c in ("t", "v")]).join(spans, "entity")
+    none = {c: F.lit(None).cast(k) for c, k in (("t0", "bigint"), ("v0", "array<double>"), ("t1", "bigint"), ("v1", "array<double>"))}
+    roles = F.filter(F.array(
+        F.when(F.col("last"), F.struct(F.col("t").alias("t0"), F.col("v").alias("v0"), F.col("t1").alias("t1"), F.col("v1").alias("v1"))),  # to the next chunk, or the end
+        F.when((F.col("n") == 1) & F.col("inside"), F.struct(none["t0"].alias("t0"), none["v0"].alias("v0"), F.col("t").alias("t1"), F.col("v").alias("v1"))),  # before the first reading
+        F.when((F.col("n") == 1) & ~F.col("inside"), F.struct(*[c.alias(k) for k, c in none.items()])),  # only readings outside: every slot is empty
+    ), lambda x: x.isNotNull())
+    outer = linked.select("entity", "source", *span, F.explode(roles).alias("r")).select("entity", "source", *span, "r.*")
+    gaps = inner.unionByName(outer)
     slots = floor_div((F.col("stop") - F.col("start")) * F.col("rate"), F.col("per"))
     gaps = gaps.withColumns({"k0": F.coalesce(_slot("t0"), F.lit(-1).cast("bigint")), "k1": _slot("t1"), "slots": slots})
     upto = F.least(F.coalesce("k1", "slots"), F.col("slots") - 1)
