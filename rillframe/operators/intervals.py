@@ -4,7 +4,7 @@ Every interval is cut at the borders of fixed cells of 2**cell_bits positions an
 its cell, into canonical dyadic blocks (at most two a level).  Blocks that an ancestor covers are
 dropped, sibling pairs are merged upward level by level, and adjacent blocks are coalesced.  A cell is
 the unit of work: a key that holds most of the rows is spread over its cells, and a cell never holds
-more than 2**(cell_bits + 1) distinct blocks however many rows it gets.
+more than 2**cell_bits distinct pieces of intervals however many rows it gets.
 """
 
 from __future__ import annotations
@@ -21,22 +21,21 @@ from rillframe.session import floor_div
 _STRETCH = "k string, cell bigint, s bigint, e bigint, is_first boolean, is_last boolean, next_s bigint"
 
 
-def _block_array(lo: Column, hi: Column, bits: int) -> Column:
-    """Canonical dyadic blocks of [lo, hi) inside a cell: an array of (lvl, at)."""
+def dyadic_blocks(lo: np.ndarray, hi: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(interval, level, start) of the canonical dyadic blocks of the intervals [lo, hi) inside a cell."""
+    which, level, at = [], [], []
 
-    def level(lvl: Column) -> Column:
-        a = F.expr("cast(1 as bigint)")
-        left = F.call_function("shiftright", lo + F.call_function("shiftleft", a, lvl) - 1, lvl)
-        right = F.call_function("shiftright", hi, lvl)
-        both = F.array(
-            F.when((left < right) & (left % 2 == 1), F.struct(lvl.alias("lvl"), F.call_function("shiftleft", left, lvl).alias("at"))),
-            F.when((left < right) & (right % 2 == 1), F.struct(lvl.alias("lvl"), F.call_function("shiftleft", right - 1, lvl).alias("at"))),
-        )
-        return F.filter(both, lambda x: x.isNotNull())
+    def add(rows: np.ndarray, lvl: int, start: np.ndarray) -> None:
+        which.append(rows), level.append(np.full(len(rows), lvl, np.int64)), at.append(start)
 
-    inner = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(bits - 1)), level))
-    whole = F.array(F.struct(F.lit(bits).alias("lvl"), F.lit(0).cast("bigint").alias("at")))
-    return F.when((lo == 0) & (hi == (1 << bits)), whole).otherwise(inner)
+    whole = (lo == 0) & (hi == 1 << bits)
+    add(np.flatnonzero(whole), bits, lo[whole])
+    for lvl in range(bits):
+        left, right = (lo + (1 << lvl) - 1) >> lvl, hi >> lvl
+        part = ~whole & (left < right)
+        a, b = np.flatnonzero(part & (left & 1 == 1)), np.flatnonzero(part & (right & 1 == 1))
+        add(a, lvl, left[a] << lvl), add(b, lvl, (right[b] - 1) << lvl)
+    return np.concatenate(which), np.concatenate(level), np.concatenate(at)
 
 
 def canonical_stretches(group: np.ndarray, lvl: np.ndarray, at: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -94,7 +93,9 @@ def _stretches(bits: int):
         change = np.r_[False, (code[1:] != code[:-1]) | (cell[1:] != cell[:-1])]
         group = np.cumsum(change).astype(np.int64)
         head = np.flatnonzero(np.r_[True, change[1:]])
-        g, s, e = canonical_stretches(group, rows["lvl"].to_numpy().astype(np.int64), rows["at"].to_numpy(), bits)
+        which, lvl, at = dyadic_blocks(rows["lo"].to_numpy(), rows["hi"].to_numpy(), bits)
+        order = np.lexsort((-lvl, at, group[which]))
+        g, s, e = canonical_stretches(group[which[order]], lvl[order], at[order], bits)
         first = np.r_[True, g[1:] != g[:-1]]
         last = np.r_[first[1:], True]
         base = cell[head][g] << bits
@@ -110,7 +111,36 @@ def _stretches(bits: int):
     return run
 
 
-def periods_and_gaps(df: DataFrame, key: str, start: str, end: str, cell_bits: int = 16) -> DataFrame:
+def _links(group: str) -> tuple[Column, Column, Column]:
+    """Whether a stretch is the first or the last of its (k, group), and where the next one starts."""
+    w = Window.partitionBy("k", group).orderBy("s")
+    return F.lag("s").over(w).isNull(), F.lead("s").over(w).isNull(), F.lead("s").over(w)
+
+
+def _joined(stretches: DataFrame, group: str) -> DataFrame:
+    """Stretches of each (k, group) with adjacent ones coalesced, and their links.
+
+    ``tail`` says that a stretch was the last of its part of the group; the others' gaps are known already.
+    """
+    w = Window.partitionBy("k", group).orderBy("s")
+    fresh = F.when(F.col("s") == F.lag("e").over(w), 0).otherwise(1)
+    runs = stretches.select("k", group, "s", "e", "tail", fresh.alias("fresh")).withColumn("run", F.sum("fresh").over(w))
+    runs = runs.groupBy("k", group, "run").agg(F.min("s").alias("s"), F.max("e").alias("e"), F.max_by("tail", "e").alias("tail"))
+    first, last, after = _links(group)
+    return runs.select("k", group, "s", "e", first.alias("is_first"), last.alias("is_last"), F.when(F.col("tail"), after).alias("next_s"))
+
+
+def _settled(parts: DataFrame, outer_too: bool = False) -> DataFrame:
+    """(k, kind, s, e): stretches that meet nothing outside their group, and the gaps behind stretches."""
+    done = F.lit(True) if outer_too else ~F.col("is_first") & ~F.col("is_last")
+    kinds = F.array(
+        F.when(done, F.struct(F.lit("period").alias("kind"), F.col("s").alias("s"), F.col("e").alias("e"))),
+        F.when(F.col("next_s") > F.col("e"), F.struct(F.lit("gap").alias("kind"), F.col("e").alias("s"), F.col("next_s").alias("e"))),
+    )
+    return parts.select("k", F.explode(F.filter(kinds, lambda x: x.isNotNull())).alias("r")).select("k", "r.*")
+
+
+def periods_and_gaps(df: DataFrame, key: str, start: str, end: str, cell_bits: int = 16, district: int = 1024) -> DataFrame:
     """Periods that the intervals [start, end) of each key cover, and the gaps between them.
 
     ``start`` and ``end`` are integer columns; out come rows (key, kind, start, end) with kind
@@ -118,31 +148,22 @@ def periods_and_gaps(df: DataFrame, key: str, start: str, end: str, cell_bits: i
     empty or reversed intervals, are ignored; repeated rows and other columns make no difference; an
     empty table gives an empty result.  An interval is replicated once for each cell it crosses, so
     ``cell_bits`` should make a cell at least as long as a usual interval.
+
+    Intervals, cut at the cells' borders, are exchanged before they are decomposed.  Cells of one key
+    meet only at their outer stretches, two rows a cell however many rows it had: first within districts
+    of ``district`` cells, of which two rows each are left for the key as a whole.
     """
     size = F.lit(1 << cell_bits).cast("bigint")
-    rows = df.select(F.col(key).cast("string").alias("k"), F.col(start).cast("bigint").alias("s"), F.col(end).cast("bigint").alias("e"))
-    longest = rows.where("k is not null and s < e").groupBy("k", "s").agg(F.max("e").alias("e"))
-    cells = longest.select("k", "s", "e", F.explode(F.sequence(floor_div(F.col("s"), size), floor_div(F.col("e") - 1, size))).alias("cell"))
+    rows = df.select(F.col(key).cast("string").alias("k"), F.col(start).cast("bigint").alias("s"), F.col(end).cast("bigint").alias("e")).where("k is not null and s < e")
+    cells = rows.select("k", "s", "e", F.explode(F.sequence(floor_div(F.col("s"), size), floor_div(F.col("e") - 1, size))).alias("cell"))
     base = F.col("cell") * size
     cut = cells.select("k", "cell", (F.greatest("s", base) - base).alias("lo"), (F.least("e", base + size) - base).alias("hi"))
-    blocks = cut.select("k", "cell", F.explode(_block_array(F.col("lo"), F.col("hi"), cell_bits)).alias("b")).select("k", "cell", "b.lvl", "b.at")
-    in_order = blocks.repartition("k", "cell").dropDuplicates(["k", "cell", "lvl", "at"]).sortWithinPartitions("k", "cell", "at", F.col("lvl").desc())
-    parts = in_order.mapInArrow(_stretches(cell_bits), _STRETCH)
-
-    # cells of one key meet only at their outer stretches: two rows a cell, however many rows it had
-    outer = parts.where("is_first or is_last")
-    by_start = Window.partitionBy("k").orderBy("s")
-    chained = outer.select(
-        "k", "s", "e", "is_last",
-        F.when(F.col("s") == F.lag("e").over(by_start), 0).otherwise(1).alias("fresh"),
-        F.lead("s").over(by_start).alias("after"),
-    )
-    joined = chained.withColumn("run", F.sum("fresh").over(by_start)).groupBy("k", "run").agg(F.min("s").alias("s"), F.max("e").alias("e"))
-    period, gap = F.lit("period"), F.lit("gap")
-    out = (
-        joined.select("k", period.alias("kind"), "s", "e")
-        .unionByName(parts.where("not is_first and not is_last").select("k", period.alias("kind"), "s", "e"))
-        .unionByName(parts.where("next_s is not null").select("k", gap.alias("kind"), F.col("e").alias("s"), F.col("next_s").alias("e")))
-        .unionByName(chained.where("is_last and after > e").select("k", gap.alias("kind"), F.col("e").alias("s"), F.col("after").alias("e")))
-    )
+    # of pieces with one start the longest, chosen before the exchange
+    pieces = cut.groupBy("k", "cell", "lo").agg(F.max("hi").alias("hi"))
+    parts = pieces.repartition("k", "cell").sortWithinPartitions("k", "cell").mapInArrow(_stretches(cell_bits), _STRETCH)
+
+    outer = parts.where("is_first or is_last").select("k", floor_div(F.col("cell"), F.lit(district).cast("bigint")).alias("district"), "s", "e", F.col("is_last").alias("tail"))
+    wide = _joined(outer.repartition("k", "district"), "district")
+    rest = wide.where("is_first or is_last").select("k", F.lit(0).alias("all"), "s", "e", F.col("is_last").alias("tail"))
+    out = _settled(parts).unionByName(_settled(wide.drop("district"))).unionByName(_settled(_joined(rest, "all"), outer_too=True))
     return out.select(F.col("k").alias(key), "kind", F.col("s").alias(start), F.col("e").alias(end))

@@ -9,6 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rillframe.operators import instants, outliers
+from rillframe.operators.intervals import periods_and_gaps
 from rillframe.operators.outliers import interventions
 from rillframe.operators.units import convert_units, phrases_of
 from rillframe.plans import catalog
@@ -131,3 +132,18 @@ def test_withheld_zones_are_estimated(spark, monkeypatch):
     none = spark.createDataFrame([(f"c{k}", [(-(1 << 62), 1 << 62, 0)]) for k in zones], "clock string, history array<struct<since:bigint,until:bigint,o:bigint>>")
     monkeypatch.setattr(instants, "estimate_histories", lambda unsure: none)
     assert share() < 0.5
+
+
+def test_periods_over_cells_and_districts(spark):
+    """Stretches that touch, span or skip small cells and districts of cells."""
+    rng = np.random.default_rng(8)
+    data = [("k", int(s), int(s + n)) for s, n in zip(rng.integers(-400, 400, 80), rng.choice([1, 2, 4, 16, 60], 80))]
+    union = []
+    for s, e in sorted((s, e) for _, s, e in data):
+        if union and s <= union[-1][1]:
+            union[-1][1] = max(union[-1][1], e)
+        else:
+            union.append([s, e])
+    want = [("k", "period", s, e) for s, e in union] + [("k", "gap", a[1], b[0]) for a, b in zip(union, union[1:])]
+    for bits, district in ((2, 3), (3, 4), (5, 1024)):
+        assert sorted(map(tuple, periods_and_gaps(spark.createDataFrame(data, "k string, s long, e long"), "k", "s", "e", bits, district).collect())) == sorted(want)
