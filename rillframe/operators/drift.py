@@ -10,6 +10,7 @@ removed, renamed, retyped).  The steps define epochs of field names through whic
 from __future__ import annotations
 
 import difflib
+import functools
 import hashlib
 import json
 import re
@@ -19,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,6 +59,7 @@ def fields_of(doc: dict) -> Iterator[tuple[str, object]]:
                         yield f"{key}[].{k}", x
 
 
+@functools.lru_cache(1 << 16)
 def _hash(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=7).digest(), "big")
 
@@ -268,6 +270,7 @@ def walk(rows: pd.DataFrame) -> list[tuple]:
                 elif s in lists[owner]:
                     raw["presence", path].append((*lists[owner][s], "False"))
 
+    @functools.cache
     def lasting(kind: str, path: str) -> list[tuple]:
         """Runs joined over the stretches' borders: (first, last, file, at, n, value); the first one whatever its length."""
         out: list[list] = []
@@ -479,24 +482,120 @@ def _cells(body: pd.Series) -> pd.Series:
     return body.map(cells)
 
 
-def consistent_table(files: DataFrame, exporter: str, at: str, file_id: str, body: str) -> DataFrame:
-    """All bodies in one table of cells: (file_id, exporter, field, item, value, type, target_type, written_as).
+# how a JSON text is told apart and brought to a type; a value alone and {"value": it} or [it] stand for each other
+def _scalar() -> Column:
+    """The one value of a cell as text: of a scalar, of an object with nothing but ``value``, of an array of one; else null."""
+    boxed = F.when(F.col("type") == "object", F.when(F.to_json(F.json_object_keys("value")) == '["value"]', F.get_json_object("value", "$.value")))
+    single = F.when(F.col("type") == "array", F.when(F.json_array_length("value") == 1, F.get_json_object("value", "$[0]")))
+    return F.when(F.col("type").isin("string", "number", "boolean"), F.col("value")).otherwise(F.coalesce(boxed, single))
+
+
+def _cast_to_target() -> Column:
+    """A cell's value as text of its target type (JSON for arrays and objects), null if it cannot be cast."""
+    one, kind, goal = F.col("one"), F.col("type"), F.col("target_type")
+    low = F.lower(F.trim(one))
+    number = F.when(low == "true", 1.0).when(low == "false", 0.0).otherwise(F.trim(one).try_cast("double"))
+    truth = F.when(low.isin("true", "1", "1.0", "yes"), "true").when(low.isin("false", "0", "0.0", "no"), "false")
+    quoted = F.when(kind.isin("number", "boolean"), F.col("value")).otherwise(F.substring(F.to_json(F.array(one)), F.lit(2), F.length(F.to_json(F.array(one))) - 2))
+    return (
+        F.when(F.col("value").isNull() | (kind == goal) | goal.isNull(), F.col("value"))
+        .when(goal == "number", number.cast("string"))
+        .when(goal == "boolean", truth)
+        .when(goal == "string", F.coalesce(one, F.col("value")))
+        .when(goal == "array", F.concat(F.lit("["), F.when(kind == "object", F.col("value")).otherwise(quoted), F.lit("]")))
+        .when((goal == "object") & (kind != "array"), F.concat(F.lit('{"value":'), quoted, F.lit("}")))
+        .when(goal == "object", F.concat(F.lit('{"value":'), F.coalesce(F.when(one.isNotNull(), quoted), F.col("value")), F.lit("}")))
+    )
+
+
+def consistent_cells(files: DataFrame, exporter: str, at: str, file_id: str, body: str) -> DataFrame:
+    """All bodies as cells: (file_id, exporter, field, item, value, type, written, written_type, written_as, rule).
 
     Each cell is routed through the chain of renames of its exporter to the field's last name, by the
-    epoch its file lies in; ``target_type`` is the type that field ended with (what a cast should give),
-    ``written_as`` the name in the file.  ``item`` numbers the objects of an array.  A field outside any
-    epoch (of a single odd file) keeps its name.  Bodies that cannot be parsed have no cells; repeated
-    rows count once; see :func:`schema_changes` for the rest.
+    epoch its file lies in, and cast to the type that field ended with: ``value`` is text of ``type``
+    (JSON for arrays and objects), null where the value is null or no cast gives it.  ``rule`` records
+    what happened: ``kept``, ``cast``, ``failed`` (``written`` holds what could not be cast), or
+    ``default`` for a top-level field of the exporter's last schema that the file lacks (value null; only
+    these have no ``written_as``).  ``written``, ``written_type`` and ``written_as`` are as in the file.
+    ``item`` numbers the objects of an array.  A field outside any epoch (of a single odd file) keeps its
+    name and type.  Bodies that cannot be parsed have no cells; repeated rows count once; see
+    :func:`schema_changes` for the rest.
     """
+    return _cells_of(files, _epochs(files, exporter, at, file_id, body), exporter, at, file_id, body)
+
+
+def _epochs(files: DataFrame, exporter: str, at: str, file_id: str, body: str) -> DataFrame:
     epochs = migration_steps(files, exporter, at, file_id, body).where("kind = 'epoch'")
-    epochs = epochs.select("exporter", F.col("old_field").alias("written_as"), F.col("new_field").alias("name"), F.col("type").alias("target_type"), F.col("at").alias("since"), "until")
+    return cut_lineage(epochs.select("exporter", F.col("old_field").alias("written_as"), F.col("new_field").alias("name"), F.col("type").alias("target_type"), F.col("at").alias("since"), "until"))
+
+
+def _cells_of(files: DataFrame, epochs: DataFrame, exporter: str, at: str, file_id: str, body: str) -> DataFrame:
     rows = files.select(F.col(exporter).cast("string").alias("exporter"), epoch_us(at).alias("at"), F.col(file_id).cast("bigint").alias("file_id"), F.col(body).cast("string").alias("body"))
     rows = rows.where("exporter is not null and at is not null and file_id is not null").dropDuplicates(["exporter", "file_id"])
-    cells = rows.select("exporter", "at", "file_id", F.explode(_cells("body")).alias("c")).select("exporter", "at", "file_id", F.col("c.field").alias("written_as"), "c.item", "c.value", "c.type")
+    # the last schema of each exporter, as one more source of cells: its fields with their types
+    last = epochs.where("until is null and not contains(name, '[].')").groupBy("exporter").agg(F.collect_set(F.struct(F.col("name").alias("field"), F.col("target_type").alias("type"))).alias("schema"))  # as many as fields
+    parsed = rows.select("exporter", "at", "file_id", _cells("body").alias("cells")).where("cells is not null")
+    cells = parsed.select("exporter", "at", "file_id", F.explode("cells").alias("c")).select("exporter", "at", "file_id", F.col("c.field").alias("written_as"), "c.item", "c.value", "c.type")
     # epochs of one name do not overlap, so the join keeps one row per cell
     names = ["exporter", "written_as"]
     history = epochs.groupBy(*names).agg(F.collect_set(F.struct("since", "until", "name", "target_type")).alias("epochs"))  # as many as the name's migration steps
-    routed = cells.join(history, names, "left")
     hit = F.filter("epochs", lambda e: (F.col("at") >= e["since"]) & (e["until"].isNull() | (F.col("at") < e["until"])))
-    routed = routed.withColumn("e", F.try_element_at(hit, F.lit(1)))
-    return routed.select(F.col("file_id").alias(file_id), F.col("exporter").alias(exporter), F.coalesce("e.name", "written_as").alias("field"), "item", "value", "type", F.coalesce("e.target_type", "type").alias("target_type"), "written_as")
+    routed = cells.join(history, names, "left").withColumn("e", F.try_element_at(hit, F.lit(1)))
+    routed = routed.select("exporter", "file_id", F.coalesce("e.name", "written_as").alias("field"), "item", "value", "type", F.coalesce("e.target_type", "type").alias("target_type"), "written_as")
+    routed = routed.withColumn("one", _scalar()).withColumn("to", _cast_to_target())
+    rule = F.when(F.col("value").isNull() | (F.col("type") == F.col("target_type")), "kept").when(F.col("to").isNull(), "failed").otherwise("cast")
+    out = ("exporter", "file_id", "field", "item", "value", "type", "written", "written_type", "written_as", "rule")
+    done = routed.select("exporter", "file_id", "field", "item", F.col("to").alias("value"), F.col("target_type").alias("type"), F.col("value").alias("written"), F.col("type").alias("written_type"), "written_as", rule.alias("rule"))
+    # a name and the fields it leads to, to tell which fields of the schema a file lacks without regrouping cells
+    led = epochs.groupBy("exporter").agg(F.collect_set(F.struct("since", "until", "written_as", "name")).alias("led"))  # the steps of one exporter
+    lacking = parsed.select("exporter", "at", "file_id", F.array_distinct(F.transform("cells", lambda c: F.substring_index(c["field"], "[].", 1))).alias("have")).join(last, "exporter").join(led, "exporter")
+    met = F.transform(F.filter("led", lambda e: (F.col("at") >= e["since"]) & (e["until"].isNull() | (F.col("at") < e["until"])) & F.array_contains("have", e["written_as"])), lambda e: e["name"])
+    lacking = lacking.withColumn("met", F.concat(met, "have")).select("exporter", "file_id", F.explode(F.filter("schema", lambda f: ~F.array_contains("met", f["field"]))).alias("f"))
+    none = F.lit(None).cast("string")
+    defaults = lacking.select("exporter", "file_id", "f.field", F.lit(None).cast("bigint").alias("item"), none.alias("value"), "f.type", none.alias("written"), none.alias("written_type"), none.alias("written_as"), F.lit("default").alias("rule"))
+    both = done.select(*out).unionByName(defaults)
+    return both.select(F.col("file_id").alias(file_id), F.col("exporter").alias(exporter), *out[2:])
+
+
+_COLUMN_TYPES = {"number": "double", "boolean": "boolean"}
+
+
+def consistent_table(files: DataFrame, exporter: str, at: str, file_id: str, body: str, defaults: dict[str, str] | None = None) -> DataFrame:
+    """All bodies in one table with one typed column per field: (file_id, exporter, fields..., failed, defaulted).
+
+    A field is named by its last name; numbers are doubles, booleans booleans, other values text (JSON
+    for arrays and objects of no known keys); an array of objects is an array of structs of its keys, in
+    order.  A field that ended with different types at different exporters is text.  Fields that a file
+    lacks take the text of ``defaults``, cast to the column's type, else null.  ``failed`` lists the
+    fields whose value could not be cast, ``defaulted`` those of the exporter's last schema that the file
+    lacks.  The columns are those of the last schemas, in alphabetical order (their names are collected:
+    as many as there are fields); what only single odd files have is left to :func:`consistent_cells`.
+    """
+    epochs = _epochs(files, exporter, at, file_id, body)
+    fields: dict[str, set] = defaultdict(set)
+    for r in epochs.where("until is null").select("name", "target_type").distinct().collect():
+        fields[r.name].add(r.target_type)
+    kind = {f: _COLUMN_TYPES.get(next(iter(t)), "string") if len(t) == 1 else "string" for f, t in fields.items()}
+    top = sorted(f for f in kind if "[]." not in f)
+    lists = {f: sorted(k for k in kind if k.startswith(f + "[].")) for f in top}
+    cells = _cells_of(files, epochs, exporter, at, file_id, body).withColumnsRenamed({file_id: "file_id", exporter: "exporter"})
+    key = ["exporter", "file_id"]
+
+    def value(f: str) -> Column:
+        return F.max(F.when(F.col("field") == f, F.col("value"))).try_cast(kind[f])
+
+    owner = F.substring_index("field", "[].", 1)
+    number = {k: f"k{i}" for i, k in enumerate(k for ks in lists.values() for k in ks)}
+    items = cells.where("item is not null").groupBy(*key, owner.alias("list"), "item").agg(F.lit(0).alias("_"), *[value(k).alias(n) for k, n in number.items()])
+
+    def objects(f: str, ks: list[str]) -> Column:
+        """The objects of a list in order, as structs of their keys."""
+        found = F.array_sort(F.collect_list(F.when(F.col("list") == f, F.struct("item", *[F.col(number[k]) for k in ks]))))  # of one file
+        return F.transform(found, lambda x: F.struct(*[x[number[k]].alias(k.split("[].", 1)[1]) for k in ks])).alias(f)
+
+    arrays = items.groupBy(*key).agg(*[objects(f, ks) for f, ks in lists.items() if ks]) if any(lists.values()) else None
+    plain = [f for f in top if not lists[f]]
+    listed = lambda rule: F.array_sort(F.collect_set(F.when(F.col("rule") == rule, F.col("field"))))
+    wide = cells.groupBy(*key).agg(*[F.coalesce(value(f), F.lit((defaults or {}).get(f)).try_cast(kind[f])).alias(f) for f in plain], listed("failed").alias("failed"), listed("default").alias("defaulted"))
+    wide = wide.join(arrays, key, "left") if arrays is not None else wide
+    return wide.select(F.col("file_id").alias(file_id), F.col("exporter").alias(exporter), *[f"`{f}`" for f in top], "failed", "defaulted")

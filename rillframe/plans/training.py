@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillframe.operators.drift import consistent_table, schema_changes
+from rillframe.operators.drift import consistent_cells, consistent_table, schema_changes
 from rillframe.operators.grid import latest_revision, regular_grid
 from rillframe.operators.instants import length_us, normalise_instants
 from rillframe.operators.intervals import periods_and_gaps
@@ -92,9 +92,14 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return schema_changes(table(spark, d, "sidecar_files"), *_SIDECAR)
 
 
+def p7_cells(spark: SparkSession, d: str) -> DataFrame:
+    """Every value of every body under its last name and type, and by which rule."""
+    return consistent_cells(table(spark, d, "sidecar_files"), *_SIDECAR)
+
+
 def p7_table(spark: SparkSession, d: str) -> DataFrame:
-    """One consistent table of all bodies."""
+    """One consistent table of all bodies, one typed column per field."""
     return consistent_table(table(spark, d, "sidecar_files"), *_SIDECAR)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_values, p3_found, p3_flags, p4_found, p5_found, p5_series, p6_found, p7_found, p7_table)}
+QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_values, p3_found, p3_flags, p4_found, p5_found, p5_series, p6_found, p7_found, p7_cells, p7_table)}

@@ -1,5 +1,6 @@
 """Whole results: nothing of the input is left out."""
 
+import json
 import zoneinfo
 from datetime import UTC, datetime
 
@@ -9,6 +10,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rillframe.operators import instants, outliers
+from rillframe.operators.drift import consistent_cells, consistent_table
 from rillframe.operators.intervals import periods_and_gaps
 from rillframe.operators.outliers import interventions
 from rillframe.operators.units import convert_units, phrases_of
@@ -147,3 +149,27 @@ def test_periods_over_cells_and_districts(spark):
     want = [("k", "period", s, e) for s, e in union] + [("k", "gap", a[1], b[0]) for a, b in zip(union, union[1:])]
     for bits, district in ((2, 3), (3, 4), (5, 1024)):
         assert sorted(map(tuple, periods_and_gaps(spark.createDataFrame(data, "k string, s long, e long"), "k", "s", "e", bits, district).collect())) == sorted(want)
+
+
+def test_drift_casts_and_defaults(spark):
+    """Every cell has its target type; failed casts and absent fields are recorded; the table has typed columns."""
+    bodies = []
+    for i in range(24):
+        b = {"hz": str(i) if i < 8 else i, "flag": "true" if i < 8 else True, "note": i if i < 8 else f"t{i}", "box": {"value": f"v{i}"} if i < 8 else f"v{i}"}
+        b["marks"] = [{"pos": "0.5" if i < 8 else 0.5, "kind": "a"}, {"pos": None if i < 8 else 0.25, "kind": "b"}]
+        if i == 3:
+            b["hz"] = "fast"
+        if i >= 12:
+            b["late"] = 1.5 * i
+        bodies.append(json.dumps(b))
+    df = spark.createDataFrame([("x", f"2025-01-01 00:00:{i:02d}", i, b) for i, b in enumerate(bodies)] + [("x", "2025-01-01 00:00:03", 3, bodies[3])], "exporter string, at string, id long, body string").withColumn("at", F.to_timestamp("at"))
+    args = (df, "exporter", "at", "id", "body")
+    cells = {(r.id, r.field, r.item): r for r in consistent_cells(*args).collect()}
+    target = {"hz": "number", "flag": "boolean", "note": "string", "box": "string", "marks[].pos": "number", "marks[].kind": "string", "late": "number"}
+    assert {r.field: r.type for r in cells.values()} == target
+    assert cells[2, "hz", None].value == "2.0" and cells[3, "hz", None].rule == "failed" and cells[3, "hz", None].written == "fast"
+    assert cells[1, "box", None].value == "v1" and cells[1, "note", None].value == "1" and cells[5, "late", None].rule == "default"
+    wide = {r.id: r for r in consistent_table(*args, defaults={"late": "-1"}).collect()}
+    assert len(wide) == 24 and wide[3].failed == ["hz"] and wide[3].hz is None and wide[3].defaulted == ["late"] and wide[3].late == -1.0
+    assert wide[20].late == 30.0 and wide[20].flag is True and wide[2].flag is True and [(m.pos, m.kind) for m in wide[2].marks] == [(0.5, "a"), (None, "b")]
+    assert consistent_table(df.limit(0), *args[1:]).count() == 0 and consistent_cells(df.limit(0), *args[1:]).count() == 0
