@@ -13,20 +13,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillframe.llm.mixing import clean_source
 
 BITS = 18
-MAX_LABELLED, MAX_UNLABELLED = 2000, 1000  # documents that train the classifiers (taken by hash of the id), a bound for the driver
+MAX_LABELLED, MAX_CHARS = 2000, 50_000_000  # labelled documents that train the classifiers (taken by hash of the id) and their characters, a bound for the driver
+HELD = 400  # documents held out to choose the thresholds
 SHARE, FEW, LONG, MOST = 5, 1, 8, 3  # a fifth of the sentences; a single one in a text of eight is a mention; three subjects
 
-_MARKUP = re.compile(r"<[^<>]{1,200}>|&[a-z]{2,6};|[*_#`|>]+")
-_PREFIX = re.compile(r"(?m)^\s*(?:\[[^\]]{1,40}\]|\d{4}-\d\d-\d\d[T ]\d\d:\d\d:\d\d\S*|INFO|WARN|DEBUG|ERROR)[\s:|-]*")
+_MARKUP = re.compile(r"</?[A-Za-z!][^<>]*>|&[a-z]{2,6};|[*_#`|>]+")
+_PREFIX = re.compile(r"(?m)^\s*(?:\[[^\]\n]+\]|\d{4}-\d\d-\d\d[T ]\d\d:\d\d:\d\d\S*|INFO|WARN|DEBUG|ERROR)[\s:|-]*")
 _END = re.compile(r"(?<=[.!?])[\"')\]]*\s+|(?<=[。！？])[”’）」』]*|\n+")
 _CODE = re.compile(r"[A-Za-z]*\d[A-Za-z0-9]*")  # numbers and names with digits tell no subject
 _WORD = re.compile(r"[\u3400-\u9fff]|[^\W\d_\u3400-\u9fff]+")
+_TOKEN = re.compile(r"\n|" + _WORD.pattern)
 
 
 def sentences(text: str | None) -> list[str]:
@@ -36,26 +38,52 @@ def sentences(text: str | None) -> list[str]:
     return [s for s in (p.strip() for p in _END.split(_MARKUP.sub(" ", _PREFIX.sub(" ", text)))) if s and _WORD.search(s)]
 
 
-def grams(sentence: str) -> list[int]:
-    """Hashed n-grams: words to trigrams, and the beginnings of long words (typing errors, inflections); Han characters are words."""
-    words = [w.lower() for w in _WORD.findall(_CODE.sub(" ", sentence))]
-    out = {f"1{w}" for w in words}
-    out |= {f"2{a} {b}" for a, b in zip(words, words[1:])}
-    out |= {f"3{a} {b} {c}" for a, b, c in zip(words, words[1:], words[2:])}
-    for w in words:
-        if len(w) > 5:
-            out |= {f"p{w[:5]}", f"s{w[-5:]}"}
-    return sorted({zlib.crc32(g.encode()) & ((1 << BITS) - 1) for g in out})
+class _Vocabulary(dict):
+    """Hashes of a word, of its beginning and of its end (0 for a short one); built up as words come, a line break has none."""
+
+    def __missing__(self, word: str) -> tuple[int, int, int]:
+        if len(self) > 1 << 20:
+            self.clear()
+        long = len(word) > 5
+        self[word] = out = (zlib.crc32(word.encode("utf-8", "replace")) + 1, *((zlib.crc32(f"p{word[:5]}".encode("utf-8", "replace")), zlib.crc32(f"s{word[-5:]}".encode("utf-8", "replace"))) if long else (0, 0)))
+        return out
+
+
+_VOCABULARY = _Vocabulary({"\n": (0, 0, 0)})
+_MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)  # odd multipliers
+
+
+def grams(parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed n-grams of sentences: where each sentence's begin, and all of them, distinct and in order within a sentence.
+
+    Taken are words to trigrams, and the beginnings and ends of long words (typing errors, inflections);
+    Han characters are words.  All sentences are split and hashed at once.
+    """
+    tokens = _TOKEN.findall(_CODE.sub(" ", "\n".join(p.replace("\n", " ") for p in parts)).lower())
+    ids = np.array([_VOCABULARY[t] for t in tokens], np.uint64).reshape(-1, 3)
+    row = np.cumsum(ids[:, 0] == 0) if len(ids) else np.zeros(0, np.int64)
+    word = ids[:, 0] != 0
+    rows, hashes = [row[word]], [ids[word, 0] * _MIX[0]]
+    for c in (1, 2):
+        rows.append(row[ids[:, c] != 0]), hashes.append(ids[ids[:, c] != 0, c] * _MIX[c])
+    mixed, whole = ids[:, 0] * _MIX[1], word
+    for n in (1, 2):  # one more word at a time; a line break ends the gram
+        mixed = (mixed[:-1] ^ (mixed[:-1] >> np.uint64(29))) * _MIX[2] + ids[n:, 0] * _MIX[0]
+        whole = whole[:-1] & word[n:]
+        rows.append(row[: len(whole)][whole]), hashes.append(mixed[whole])
+    rows, hashes = np.concatenate(rows), np.concatenate(hashes)
+    key = np.sort((rows.astype(np.int64) << BITS) | (hashes >> np.uint64(64 - BITS)).astype(np.int64))
+    key = key[np.r_[True, key[1:] != key[:-1]][: len(key)]]
+    return np.searchsorted(key, np.arange(len(parts) + 1, dtype=np.int64) << BITS), key & ((1 << BITS) - 1)
 
 
 class Sparse:
     """Rows of hashed features with unit length."""
 
-    def __init__(self, rows: list[list[int]]):
-        self.start = np.cumsum([0, *map(len, rows)])
-        self.cols = np.array([c for r in rows for c in r], np.int64)
+    def __init__(self, start: np.ndarray, cols: np.ndarray):
+        self.start, self.cols = start, cols
         size = np.diff(self.start)
-        self.row = np.repeat(np.arange(len(rows)), size)
+        self.row = np.repeat(np.arange(len(size)), size)
         self.weight = (1 / np.sqrt(np.maximum(size, 1))).astype(np.float32)
 
     def times(self, w: np.ndarray) -> np.ndarray:
@@ -109,14 +137,13 @@ class _Corpus:
     """Sentences of some documents, each distinct one once, and which documents they stand in."""
 
     def __init__(self, texts: list[str]):
-        index: dict[tuple, int] = {}
-        self.what, self.owner = [], []
-        for d, text in enumerate(texts):
-            for s in sentences(text):
-                self.what.append(index.setdefault(tuple(grams(s)), len(index)))
-                self.owner.append(d)
-        self.what, self.owner = np.array(self.what, np.int64), np.array(self.owner, np.int64)
-        self.x = Sparse([list(k) for k in index])
+        parts = [sentences(t) for t in texts]
+        self.owner = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+        start, cols = grams([s for p in parts for s in p])
+        index: dict[bytes, int] = {}
+        self.what = np.array([index.setdefault(cols[a:b].tobytes(), len(index)) for a, b in zip(start, start[1:])], np.int64)
+        kept = [np.frombuffer(k, np.int64) for k in index]
+        self.x = Sparse(np.cumsum([0, *map(len, kept)]), np.concatenate([np.zeros(0, np.int64), *kept]))
         self.bounds = np.searchsorted(self.owner, np.arange(len(texts) + 1))
 
     def subjects_of(self, hit: np.ndarray) -> np.ndarray:
@@ -147,77 +174,73 @@ class _Corpus:
         return total / np.maximum(n, 1)[:, None], n
 
 
-def train(documents: list[tuple[str, set[str]]], subjects: list[str], more: list[str] = (), passes: int = 3) -> tuple[np.ndarray, np.ndarray]:
+def fitted(corpus: _Corpus, truth: np.ndarray, used: np.ndarray, passes: int) -> np.ndarray:
+    """Weights from the documents ``used`` of a corpus, whose subjects are ``truth``."""
+    first = (truth / np.maximum(truth.sum(axis=1, keepdims=True), 1))[corpus.owner]
+    rows = used[corpus.owner]
+    n = np.bincount(corpus.what[rows], minlength=len(corpus.x.weight)).astype(float)
+    y = np.stack([np.bincount(corpus.what[rows], first[rows, c], len(n)) for c in range(truth.shape[1])], axis=1) / np.maximum(n, 1)[:, None]
+    w = fit(corpus.x, y, np.minimum(n, 5), 40)
+    for step in range(passes):
+        y, n = corpus.labels(scores(corpus.x, w)[corpus.what], truth, used)
+        w = fit(corpus.x, y, np.minimum(n, 5), 30, w if step else None)
+    return w
+
+
+def train(documents: list[tuple[str, set[str]]], subjects: list[str], passes: int = 3) -> tuple[np.ndarray, np.ndarray]:
     """Weights and thresholds from (text, subjects) pairs; an empty set marks a text about none.
 
-    ``more`` are texts without labels.  Once the classifiers stand, those whose sentences tell their
-    subjects get them as weak labels, which teaches the words that the labelled texts lack.
+    The thresholds, one per subject, are those with which classifiers fitted on four fifths of the
+    documents tell the other fifth best, over as many fifths as hold ``HELD`` documents; the weights are
+    then fitted on all documents.
     """
     at = {s: i for i, s in enumerate(subjects)}
-    k, given = len(subjects), len(documents)
-    corpus = _Corpus([t for t, _ in documents] + list(more))
+    k = len(subjects)
+    corpus = _Corpus([t for t, _ in documents])
     if not len(corpus.what):
         return np.zeros(((1 << BITS) + 1, k), np.float32), np.full(k, np.inf)
-    truth = np.zeros((given + len(more), k), bool)
+    truth = np.zeros((len(documents), k), bool)
     for d, (_, labels) in enumerate(documents):
         truth[d, [at[s] for s in labels if s in at]] = True
-    known = np.arange(len(truth)) < given
-    first = (truth / np.maximum(truth.sum(axis=1, keepdims=True), 1))[corpus.owner]
-    rows = known[corpus.owner]
-    n = np.bincount(corpus.what[rows], minlength=len(corpus.x.weight)).astype(float)
-    y = np.stack([np.bincount(corpus.what[rows], first[rows, c], len(n)) for c in range(k)], axis=1) / np.maximum(n, 1)[:, None]
-    w = fit(corpus.x, y, np.minimum(n, 5), 40)
-    may, sure = truth.copy(), known.copy()
-    for step in range(2 * passes if len(more) else passes):
-        z = scores(corpus.x, w)[corpus.what]
-        if step >= passes:  # the unlabelled join in, by what their sentences say so far
-            told = corpus.subjects_of(z > 0)
-            may[given:], sure[given:] = told[given:], told[given:].any(axis=1)
-        y, n = corpus.labels(z, may, sure)
-        w = fit(corpus.x, y, np.minimum(n, 5), 30, w if step else None)
-    # thresholds: per subject, the one with which the labelled documents are told best
-    z = scores(corpus.x, w)[corpus.what]
+    fold = np.arange(len(truth)) % 5
+    folds = min(5, -(-HELD * 5 // len(truth)))
+    z, held = np.zeros((len(corpus.what), k), np.float32), fold < folds
+    for f in range(folds):
+        rows = (fold == f)[corpus.owner]
+        z[rows] = scores(corpus.x, fitted(corpus, truth, fold != f, passes))[corpus.what[rows]]
     threshold = np.zeros(k)
     for c in range(k):
         best = (-1.0, 0.0, 0.0)
-        for t in (-1.0, -0.5, 0.0, 0.5, 1.0):
+        for t in np.arange(-1.5, 1.51, 0.25):
             trial = threshold.copy()
             trial[c] = t
-            found = _told(corpus, z, trial, given)
-            both = (found[:, c] & truth[:given, c]).sum()
-            score = 2 * both / max(1, found[:, c].sum() + truth[:given, c].sum())
+            found = corpus.subjects_of(z > trial)[held]
+            score = 2 * (found[:, c] & truth[held, c]).sum() / max(1, found[:, c].sum() + truth[held, c].sum())
             best = max(best, (float(score), -abs(t), t))
         threshold[c] = best[2]
-    return w, threshold
-
-
-def _told(corpus: _Corpus, z: np.ndarray, threshold: np.ndarray, given: int) -> np.ndarray:
-    out = np.zeros((given, z.shape[1]), bool)
-    for d in range(given):
-        a, b = corpus.bounds[d], corpus.bounds[d + 1]
-        if b > a:
-            out[d, decide(z[a:b] > threshold)] = True
-    return out
+    return fitted(corpus, truth, np.ones(len(truth), bool), passes), threshold
 
 
-def classify(texts: list[str | None], w: np.ndarray, threshold: np.ndarray) -> list[list[int]]:
-    """Subjects of each text, by the shares of its sentences."""
+def classify(texts: list[str | None], w: np.ndarray, threshold: np.ndarray, known: dict[str, np.ndarray] | None = None) -> list[list[int]]:
+    """Subjects of each text, by the shares of its sentences; ``known`` remembers sentences between calls."""
+    known = {} if known is None else known
     parts = [sentences(t) for t in texts]
-    z = scores(Sparse([grams(s) for p in parts for s in p]), w) > threshold
-    bounds = np.cumsum([0, *map(len, parts)])
-    return [decide(z[a:b]) if b > a else [] for a, b in zip(bounds, bounds[1:])]
+    new = list({s for p in parts for s in p if s not in known})
+    if new:
+        known.update(zip(new, scores(Sparse(*grams(new)), w) > threshold))
+    return [decide(np.stack([known[s] for s in p])) if p else [] for p in parts]
 
 
 def subjects_of(
     documents: DataFrame, labels: DataFrame, subjects: DataFrame, doc_id: str, text: str, subject: str,
-    max_labelled: int = MAX_LABELLED, max_unlabelled: int = MAX_UNLABELLED,
+    max_labelled: int = MAX_LABELLED, max_chars: int = MAX_CHARS,
 ) -> DataFrame:
     """(doc_id, subject): one row per document and subject its text is about, at most three.
 
     ``labels`` is a labelled sample (doc_id, subject), several rows per document possible; names that
     are not in ``subjects`` (say, ``none``) mark a document without a subject.  The classifiers are
-    fitted on at most ``max_labelled`` labelled and ``max_unlabelled`` other documents, taken in the
-    order of a hash of their ids; every document is classified, on its whole text.  A subject counts
+    fitted on at most ``max_labelled`` labelled documents with together at most ``max_chars`` characters,
+    taken in the order of a hash of their ids; every document is classified, on its whole text.  A subject counts
     if at least a fifth of the sentences that deal with any subject deal with it; in a text of eight
     or more sentences a single one does not.
 
@@ -233,17 +256,18 @@ def subjects_of(
     names = sorted(r[0] for r in subjects.select(subject).distinct().collect() if r[0])  # the list of subjects is fixed
     readable = texts.where("trim(text) <> ''")
     taken = per.join(readable.select("doc_id").distinct(), "doc_id", "left_semi").orderBy(*by_hash).limit(max_labelled)
-    sample = [(r.text, set(r.subjects)) for r in readable.join(F.broadcast(taken), "doc_id").dropDuplicates(["doc_id"]).orderBy(*by_hash).collect()]
-    others = readable.select("doc_id").distinct().join(per.select("doc_id"), "doc_id", "left_anti").orderBy(*by_hash).limit(max_unlabelled)
-    more = [r.text for r in readable.join(F.broadcast(others), "doc_id").dropDuplicates(["doc_id"]).orderBy(*by_hash).collect()]
-    model = spark.sparkContext.broadcast(train(sample, names, more))  # as large as the hashed features times the subjects
+    chosen = readable.join(F.broadcast(taken), "doc_id").dropDuplicates(["doc_id"]).withColumn("chars", F.sum(F.length("text")).over(Window.orderBy(*by_hash)))  # at most max_labelled rows
+    sample = [(r.text, set(r.subjects)) for r in chosen.where(F.col("chars") <= max_chars).orderBy(*by_hash).collect()]
+    model = spark.sparkContext.broadcast(train(sample, names))  # as large as the hashed features times the subjects
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        w, threshold = model.value
+        (w, threshold), known = model.value, {}
         for part in parts:
             for a in range(0, len(part), 200):
                 some = part.iloc[a : a + 200]
-                found = classify(some["text"].tolist(), w, threshold)
+                if len(known) > 200_000:  # sentences remembered; without it they are only classified again
+                    known.clear()
+                found = classify(some["text"].tolist(), w, threshold, known)
                 yield pd.DataFrame([(i, names[c]) for i, f in zip(some["doc_id"], found) for c in f], columns=["doc_id", "subject"])
 
     kind = documents.schema[doc_id].dataType.simpleString()
