@@ -61,14 +61,15 @@ def regular_grid(
     rows = rows.withColumn("chunk", floor_div(F.col("t"), width))
     within = rows.join(chunks, ["entity", "chunk"], "left").withColumn("inside", F.coalesce(F.col("t").between(F.col("start"), F.col("stop") - 1), F.lit(False)))
 
-    by_time = Window.partitionBy("entity", "source", "chunk", "inside").orderBy("t", "v")
+    # inside readings first; no condition on them is put below the window, so both uses share one exchange
+    by_time = Window.partitionBy("entity", "source", "chunk").orderBy(F.col("inside").desc(), "t", "v")
     ordered = within.select(
         "entity", "source", "chunk", "inside", "start", "stop", "rate", "per", F.col("t").alias("t0"), F.col("v").alias("v0"),
-        F.lead("t").over(by_time).alias("t1"), F.lead("v").over(by_time).alias("v1"), F.row_number().over(by_time).alias("n"),
+        F.when(F.lead("inside").over(by_time), F.lead("t").over(by_time)).alias("t1"), F.lead("v").over(by_time).alias("v1"), F.row_number().over(by_time).alias("n"),
     )
     span = ("start", "stop", "rate", "per")
     gap = ("entity", "source", *span, "t0", "v0", "t1", "v1")
-    inner = ordered.where("inside and t1 is not null").select(*gap)
+    inner = ordered.where("t1 is not null").select(*gap)
     # first and last readings of chunks; of those outside the recording one a chunk
     ends = ordered.where("n = 1 or (inside and t1 is null)").select("entity", "source", "chunk", "inside", F.col("t0").alias("t"), F.col("v0").alias("v"), (F.col("n") == 1).alias("first"), (F.col("inside") & F.col("t1").isNull()).alias("last"))
     by_chunk = Window.partitionBy("entity", "source").orderBy(F.col("inside").desc(), "chunk", "last")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -42,6 +42,33 @@ def even_sample(df: DataFrame, keys: list[str], index: str) -> DataFrame:
     return df.join(asked.select(*keys, spot.alias(index)).distinct(), [*keys, index])
 
 
+def image_stats(df: DataFrame, keys: list[str], order: list[str], pixels: str, channels: int, scale: float = 255.0) -> DataFrame:
+    """(keys, channel, min, max, mean, std, n) over all pixels of the frames that :func:`even_sample` takes, divided by ``scale``.
+
+    ``pixels`` holds a frame's values, channels innermost; ``n`` counts frames.  Depth frames have the
+    scale 1 and, with the same keys and order, the same sampled frames.
+    """
+    rank = (F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1).cast("bigint")
+    taken = even_sample(df.select(*keys, pixels, rank.alias("_r")), keys, "_r")
+    long = taken.select(*keys, "_r", F.posexplode(pixels).alias("_p", "_x")).withColumn("_x", F.col("_x").cast("double"))
+    per = long.groupBy(*keys, (F.col("_p") % channels).cast("bigint").alias("channel")).agg(
+        F.min("_x").alias("min"), F.max("_x").alias("max"), F.avg("_x").alias("mean"), F.stddev_pop("_x").alias("std"), F.count_if(F.col("_p") < channels).alias("n")
+    )
+    return per.select(*keys, "channel", *[(F.col(c) / scale).alias(c) for c in ("min", "max", "mean", "std")], "n")
+
+
+def stats_violations(stats: DataFrame, keys: list[str], pos: str = "pos") -> DataFrame:
+    """(keys, reason) of statistics that are malformed: a number missing, min above max, the mean outside, a negative spread, no rows, a position missing."""
+    checks = {
+        "missing": F.col("min").isNull() | F.col("max").isNull() | F.col("mean").isNull() | F.col("std").isNull(), "order": F.col("min") > F.col("max"),
+        "mean": (F.col("mean") < F.col("min") - 1e-9) | (F.col("mean") > F.col("max") + 1e-9), "spread": F.col("std") < 0, "count": F.coalesce("n", F.lit(0)) < 1,
+    }
+    reasons = F.filter(F.array(*[F.when(c, F.lit(n)) for n, c in checks.items()]), lambda x: x.isNotNull())
+    rows = stats.select(*keys, F.explode(reasons).alias("reason"))
+    shape = stats.groupBy(*keys).agg(F.max(pos).alias("_m"), F.countDistinct(pos).alias("_c")).where(F.col("_m") + 1 != F.col("_c")).select(*keys, F.lit("shape").alias("reason"))
+    return rows.unionByName(shape)
+
+
 def normalise(df: DataFrame, stats: DataFrame, keys: list[str], vector: str, mode: str = "mean_std") -> DataFrame:
     """Vectors normalised with the statistics of their keys; a dimension without spread gives 0."""
     center, width = (F.col("mean"), F.col("std")) if mode == "mean_std" else (F.col("min"), F.col("max") - F.col("min"))
