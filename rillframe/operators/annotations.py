@@ -65,3 +65,14 @@ def apply_device_rules(df: DataFrame, rules: DataFrame, device: str, day: str) -
     r = rules.select(F.col("device").alias(device), "since", "until", "action").groupBy(device).agg(F.sort_array(F.collect_set(F.struct("since", "until", "action"))).alias("_rules"))  # the few rules of one device
     fit = F.filter("_rules", lambda x: F.col(day).between(F.coalesce(x["since"], F.col(day)), F.coalesce(x["until"], F.col(day))))
     return df.join(r, device, "left").withColumn("action", F.array_min(F.transform(fit, lambda x: x["action"]))).drop("_rules")
+
+
+def step_range(df: DataFrame, keys: list[str], start: str, end: str, row_id: str) -> DataFrame:
+    """(keys, low, high): start of the first and end of the last step in the order of their starts."""
+    order = F.struct(start, end, row_id)
+    return df.groupBy(*keys).agg(F.min_by(start, order).alias("low"), F.max_by(end, order).alias("high"))
+
+
+def trim_cap(trim: Column, action_frames: Column) -> Column:
+    """Frames to trim, at most half of the action they fall into."""
+    return F.least(trim, F.call_function("div", action_frames, F.lit(2).cast("bigint")))

@@ -13,15 +13,17 @@ def nearest_asof(main: DataFrame, other: DataFrame, keys: list[str], time: str,
 
     Adds ``near_t``, ``near_id`` and ``delta`` (near_t - t), null where the keys have no other row.  Of
     two equally near rows ``tie`` takes the later or the earlier; of rows with one time, the last
-    before the main row and the first after it.  Both sides have the columns ``keys``, ``time``
+    before the main row and the first after it (with tie ``first`` the earlier, and always the first).  Both sides have the columns ``keys``, ``time``
     (integer) and ``order`` (unique within keys); other columns of main are kept.
 
     One exchange by the keys; with ``slice_width`` by (keys, slice of time), for keys with very many
     rows: then the last other row before and the first after each slice come from a summary of slices.
     Rows with a null time or key have no neighbour (null keys match nothing).
     """
-    if tie not in ("later", "earlier"):
-        raise ValueError("tie is 'later' or 'earlier'")
+    if tie not in ("later", "earlier", "first"):
+        raise ValueError("tie is 'later', 'earlier' or 'first'")
+    if tie == "first":
+        other, tie = other.groupBy(*keys, time).agg(F.min(order).alias(order)), "earlier"
     part = [*keys, "_s"]
     slice_of = floor_div(F.col(time), F.lit(slice_width).cast("bigint")) if slice_width else F.lit(0).cast("bigint")
     known = " and ".join(f"{c} is not null" for c in [*keys, time])
@@ -69,6 +71,30 @@ def gap_flag(main: DataFrame, other: DataFrame, keys: list[str], time: str, thre
     return seen.select(*keys, F.col("_t").alias(time), *[F.col("_row")[c].alias(c) for c in rest], F.coalesce(inside, F.lit(False)).alias("in_gap"))
 
 
+def in_windows(rows: DataFrame, windows: DataFrame, keys: list[str], time: str, low: str, high: str, width: int) -> DataFrame:
+    """Rows with each window [low, high] of their keys that holds their time: an equi-join on (keys, bucket of ``width``).
+
+    ``width`` should be about the length of a window: a window is copied once per bucket it crosses, and a
+    row meets the windows of its own bucket only.
+    """
+    bucket = F.lit(max(1, width)).cast("bigint")
+    cut = windows.where(F.col(low) <= F.col(high)).withColumn("_bucket", F.explode(F.sequence(floor_div(F.col(low), bucket), floor_div(F.col(high), bucket))))
+    placed = rows.withColumn("_bucket", floor_div(F.col(time), bucket)).join(cut, [*keys, "_bucket"])
+    return placed.where(F.col(time).between(F.col(low), F.col(high))).drop("_bucket", low, high)
+
+
+def chunk_scan(rows: DataFrame, chunks: DataFrame, keys: list[str], time: str, first: str, last: str, hz: float) -> DataFrame:
+    """Rows of each chunk's time, from one period before its first to one period after its last frame."""
+    pad = F.lit(int(1e6 / hz)).cast("bigint")
+    spans = chunks.withColumns({"_low": F.col(first) - pad, "_high": F.col(last) + pad}).drop(first, last)
+    return in_windows(rows, spans, keys, time, "_low", "_high", int(4e6 / hz))
+
+
+def nearest_violations(joined: DataFrame, tolerance: int) -> DataFrame:
+    """Rows of a nearest join without a partner closer than ``tolerance``."""
+    return joined.where(F.col("delta").isNull() | (F.abs("delta") >= tolerance))
+
+
 def window_nearest(main: DataFrame, other: DataFrame, keys: list[str], time: str, order: str, batch: str, lead_in: int, lead_out: int) -> DataFrame:
     """Nearest other row (ties to the later) among those in the window of the main row's batch.
 
@@ -78,7 +104,7 @@ def window_nearest(main: DataFrame, other: DataFrame, keys: list[str], time: str
     spans = main.groupBy(*keys, batch).agg(F.min(time).alias("_a"), F.max(time).alias("_b"))
     before = F.lag("_b").over(Window.partitionBy(*keys).orderBy(batch))
     spans = spans.withColumn("_low", F.greatest(F.col("_a") - lead_in, F.coalesce(before + 1, F.col("_a") - lead_in))).withColumn("_high", F.col("_b") + lead_out)
-    # an other row falls into few windows: they overlap by the margins only
-    inside = other.select(*keys, F.col(time).alias("_ot"), F.col(order).alias("_oid")).join(spans.select(*keys, batch, "_low", "_high"), keys).where("_ot between _low and _high")
+    renamed = other.select(*keys, F.col(time).alias("_ot"), F.col(order).alias("_oid"))
+    inside = in_windows(renamed, spans.select(*keys, batch, "_low", "_high"), keys, "_ot", "_low", "_high", 4 * (lead_in + lead_out))
     found = nearest_asof(main, inside.select(*keys, batch, F.col("_ot").alias(time), F.col("_oid").alias(order)), [*keys, batch], time, order)
     return found

@@ -67,3 +67,9 @@ def primary_or_fallback(df: DataFrame, keys: list[str], is_fallback: str) -> Dat
     """Primary rows; the fallback's only for keys without any."""
     has = df.where(~F.col(is_fallback)).select(*keys).distinct()
     return df.where(~F.col(is_fallback)).unionByName(df.where(F.col(is_fallback)).join(has, keys, "left_anti"))
+
+
+def first_present(df: DataFrame, entity: list[str], key: str, priority: list[str]) -> DataFrame:
+    """(entity, key): of the keys in ``priority`` the first that an entity has rows of."""
+    rank = F.array_position(F.array(*map(F.lit, priority)), F.col(key))
+    return df.where(rank > 0).groupBy(*entity).agg(F.min_by(key, rank).alias(key))

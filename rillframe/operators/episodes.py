@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rillframe.session import cut_lineage
+
 
 def number_frames(df: DataFrame, episode: str, order: list[str], fps: float | None = None) -> DataFrame:
     """Adds frame_index, the global index (episodes in order) and, with ``fps``, timestamp = frame_index / fps."""
@@ -17,8 +19,16 @@ def number_frames(df: DataFrame, episode: str, order: list[str], fps: float | No
 def episode_offsets(df: DataFrame, episode: str) -> DataFrame:
     """(episode, length, from_index, to_index); the running sum is over episodes, not rows."""
     lengths = df.groupBy(episode).agg(F.count("*").alias("length"))
-    upto = F.sum("length").over(Window.orderBy(episode).rowsBetween(Window.unboundedPreceding, 0))
-    return lengths.withColumn("to_index", upto).select(episode, "length", (F.col("to_index") - F.col("length")).alias("from_index"), "to_index")
+    return running_sum(lengths, [episode], "length", "to_index").select(episode, "length", (F.col("to_index") - F.col("length")).alias("from_index"), "to_index")
+
+
+def running_sum(df: DataFrame, order: list[str], value: str, name: str) -> DataFrame:
+    """Adds the sum of ``value`` up to each row in an order that tells rows apart; like :func:`numbered`, not in one task."""
+    spread = cut_lineage(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
+    inner = F.sum(value).over(Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    sums = spread.groupBy("_part").agg(F.sum(value).alias("_c"))  # a row per partition
+    before = sums.select("_part", F.coalesce(F.sum("_c").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_b"))
+    return spread.withColumn("_s", inner).join(F.broadcast(before), "_part").withColumn(name, F.col("_s") + F.col("_b")).drop("_part", "_s", "_b")
 
 
 def delta_window(frames: DataFrame, episode: str, frame: str, values: list[str], deltas: list[int]) -> DataFrame:
@@ -38,7 +48,12 @@ def delta_frames(seconds: list[float], fps: float) -> list[int]:
 def encode_tasks(df: DataFrame, task: str, order: list[str]) -> DataFrame:
     """(task, task_index): tasks numbered by first appearance."""
     first = df.where(F.col(task).isNotNull()).groupBy(task).agg(F.min(F.struct(*order)).alias("_first"))
-    return first.select(task, (F.row_number().over(Window.orderBy("_first", task)) - 1).cast("bigint").alias("task_index"))
+    return numbered(first, ["_first", task], "task_index").select(task, "task_index")
+
+
+def decode_tasks(df: DataFrame, tasks: DataFrame, task: str, index: str = "task_index") -> DataFrame:
+    """Rows with the text of their task's number, null for a number that is not in the dictionary."""
+    return df.join(tasks.select(index, task), index, "left")
 
 
 def merge_datasets(episodes: DataFrame, dataset: str, episode: str, frames: str, least: int) -> DataFrame:
@@ -56,17 +71,37 @@ def rechunk(episodes: DataFrame, episode_index: str, size: int = 1000) -> DataFr
     return episodes.withColumn("chunk", chunk).withColumn("path", F.format_string("data/chunk-%03d/episode_%06d.parquet", F.col("chunk"), F.col(episode_index)))
 
 
-def concat_datasets(parts: list[DataFrame], order: list[list[str]]) -> DataFrame:
-    """Union over the common columns with dataset_index, local_index and a running index over all."""
+def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """Adds the place of every row in the order of ``order``, from 0, without bringing all rows to one task.
+
+    The rows are range-partitioned and numbered in their partition; the rows of all earlier partitions are
+    added from a count per partition.  They are written to the checkpoint folder in between, so that both
+    see the same partitions whatever is run again.  ``order`` must tell any two rows apart.
+    """
+    spread = cut_lineage(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
+    placed = spread.withColumn("_n", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
+    counts = spread.groupBy("_part").agg(F.count("*").alias("_c"))  # a row per partition
+    before = counts.select("_part", F.coalesce(F.sum("_c").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_b"))
+    return placed.join(F.broadcast(before), "_part").withColumn(name, (F.col("_n") - 1 + F.col("_b")).cast("bigint")).drop("_part", "_n", "_b")
+
+
+def common_columns(parts: list[DataFrame]) -> tuple[list[str], list[str]]:
+    """Columns that all tables have, in the order of the first, and those that only some have."""
     common = [c for c in parts[0].columns if all(c in p.columns for p in parts)]
+    return common, sorted({c for p in parts for c in p.columns} - set(common))
+
+
+def concat_datasets(parts: list[DataFrame], order: list[list[str]]) -> DataFrame:
+    """Union over the common columns with dataset_index, local_index and a running index over all.
+
+    The order of each table must tell any two of its rows apart.
+    """
+    common, _ = common_columns(parts)
     if not common:
         raise ValueError("the datasets have no column in common")
-    rows = []
-    for i, (p, o) in enumerate(zip(parts, order)):
-        local = (F.row_number().over(Window.orderBy(*o)) - 1).cast("bigint")
-        rows.append(p.select(F.lit(i).cast("bigint").alias("dataset_index"), local.alias("local_index"), *common))
-    whole, sizes = rows[0], [r.groupBy("dataset_index").agg(F.count("*").alias("_n")) for r in rows]
-    size = sizes[0]
+    rows = [numbered(p, o, "local_index").select(F.lit(i).cast("bigint").alias("dataset_index"), "local_index", *common) for i, (p, o) in enumerate(zip(parts, order))]
+    sizes = [p.agg(F.count("*").alias("_n")).select(F.lit(i).cast("bigint").alias("dataset_index"), "_n") for i, p in enumerate(parts)]
+    whole, size = rows[0], sizes[0]
     for r, s in zip(rows[1:], sizes[1:]):
         whole, size = whole.unionByName(r), size.unionByName(s)
     before = F.coalesce(F.sum("_n").over(Window.orderBy("dataset_index").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

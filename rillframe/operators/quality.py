@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 
@@ -75,3 +75,36 @@ def missing_required(df: DataFrame, entity: list[str], key: str, required: list[
     """(entity, key): required keys an entity lacks."""
     wanted = df.select(*entity).distinct().withColumn(key, F.explode(F.array(*map(F.lit, required))))
     return wanted.join(df.select(*entity, key).distinct(), [*entity, key], "left_anti")
+
+
+def slow_keys(df: DataFrame, keys: list[str], time: str, least: float) -> DataFrame:
+    """(keys, rate) of keys with at most ``least`` rows a second, or with no rate."""
+    return effective_rate(df, keys, time).where(F.col("rate").isNull() | (F.col("rate") <= least))
+
+
+def timings(df: DataFrame, keys: list[str], duration: str, order: list[str]) -> DataFrame:
+    """(keys, n, total, mean, p50, p95, last) of recorded durations."""
+    half, most = F.percentile(duration, 0.5), F.percentile(duration, 0.95)
+    return df.groupBy(*keys).agg(F.count(duration).alias("n"), F.sum(duration).alias("total"), F.avg(duration).alias("mean"), half.alias("p50"), most.alias("p95"), F.max_by(duration, F.struct(*order)).alias("last"))
+
+
+def leaf_rows(df: DataFrame) -> DataFrame:
+    """One row ``rows``: the number of values in all leaves, an array counting its elements."""
+
+    def leaves(schema, path: str = "") -> list[Column]:
+        out = []
+        for f in schema.fields:
+            at, kind = f"{path}`{f.name}`", f.dataType.typeName()
+            out += leaves(f.dataType, f"{at}.") if kind == "struct" else [F.coalesce(F.size(at), F.lit(0)) if kind == "array" else F.lit(1)]
+        return out
+
+    total = F.lit(0).cast("bigint")
+    for c in leaves(df.schema):
+        total = total + F.greatest(c, F.lit(0))
+    return df.agg(F.coalesce(F.sum(total), F.lit(0)).alias("rows"))
+
+
+def counted(df: DataFrame, counters: dict[str, Column]) -> tuple[DataFrame, Observation]:
+    """The table with counters that are observed when it is read, and where they can be read then."""
+    seen = Observation()
+    return df.observe(seen, *[c.alias(n) for n, c in counters.items()]), seen

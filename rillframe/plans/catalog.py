@@ -268,7 +268,7 @@ def even_sample(spark, d):
 
 @query
 def normalise_features(spark, d):
-    v = vectors(spark, d, 8)
+    v = vectors(spark, d)
     out = stats.normalise(v, stats.feature_stats(v, ["label"], "v"), ["label"], "v")
     return out.select("vec_id", F.posexplode("v").alias("pos", "x")).select("vec_id", F.col("pos").cast("bigint").alias("pos"), F.round("x", 5).alias("x"))
 
@@ -322,7 +322,7 @@ _URDF = """<robot><joint name="a" type="revolute"><parent link="base"/><child li
 @query
 def forward_kinematics(spark, d):
     v = vectors(spark, d, 2).select("vec_id", F.transform("v", lambda x: x.cast("double")).alias("q"))
-    return v.select("vec_id", end_pose(_URDF, "tip")("q").alias("p")).select("vec_id", *[F.round(F.element_at("p", i + 1), 6).alias(c) for i, c in enumerate("xyz")])
+    return v.select("vec_id", end_pose(_URDF, "tip")("q").alias("p")).select("vec_id", *[F.round(F.element_at("p", i + 1), 6).alias(c) for i, c in enumerate(("x", "y", "z", "qx", "qy", "qz", "qw"))])
 
 
 def _customers(spark, d) -> DataFrame:

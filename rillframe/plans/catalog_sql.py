@@ -94,7 +94,7 @@ ORACLES = {
       k as (select key, n, greatest(least(n,100), least(cast(trunc(pow(n,0.75)) as bigint),10000)) k from (select distinct key, n from r)),
       w as (select distinct key, cast(round_even(j*(n-1)/(k-1)::double,0) as bigint) i from (select *, unnest(range(0,k)) j from k))
       select key, i, id from r join w using(key,i)""",
-    "normalise_features": f"with {_VEC}, s as (select label, pos, avg(x) m, stddev_pop(x) d from v group by 1,2) select vec_id, pos, round(case when d>0 then (x-m)/d else 0 end,5) as x from v join s using(label,pos) where pos<8",
+    "normalise_features": f"with {_VEC}, s as (select label, pos, avg(x) m, stddev_pop(x) d from v group by 1,2) select vec_id, pos, round(case when d>0 then (x-m)/d else 0 end,5) as x from v join s using(label,pos)",
     "vector_slices": f"with {_VEC} select vec_id, case when pos between 12 and 25 then 37-pos else pos end as pos, round(x,6) as x from v where pos<28",
     "current_to_torque": f"with {_VEC} select vec_id, pos, round(x*coalesce({_C2T}[pos+1]::double/({_DIV})::double, 1),5) as x from v where pos<28",
     "torque_round_trip": f"with {_VEC} select vec_id, pos, round(x*coalesce(({_DIV})::double,1)/{_C2T}[pos+1]::double,5) as x from v where pos<28",
@@ -103,6 +103,8 @@ ORACLES = {
     "intrinsics_split": "select vec_id, "
     + ", ".join(f"round(cast(embedding[{i}] as double),6) as {n}" for n, i in (("fx", 6), ("fy", 10), ("ppx", 8), ("ppy", 11), ("k1", 1), ("k3", 5)))
     + " from embeddings",
+    # joint a about z at height 1, joint b about y half a metre out, the tip a quarter further
+    "forward_kinematics": "with q as (select vec_id, cast(embedding[1] as double) a, cast(embedding[2] as double) b from embeddings), w as (select *, cos(a/2)*cos(b/2) as w from q), s as (select *, case when w<0 then -1 else 1 end as s from w) select vec_id, round(cos(a)*(0.5+0.25*cos(b)),6) as x, round(sin(a)*(0.5+0.25*cos(b)),6) as y, round(1-0.25*sin(b),6) as z, round(-s*sin(a/2)*sin(b/2),6) as qx, round(s*cos(a/2)*sin(b/2),6) as qy, round(s*sin(a/2)*cos(b/2),6) as qz, round(s*w,6) as qw from s",
     "frame_difference": f"with {_VEC} select a.vec_id, round(avg(abs(a.x-b.x)),6) as diff from v a join v b on b.vec_id=a.vec_id+1 and a.pos=b.pos group by 1",
     "dataset_merge": f"""with {_CUST}, k as (select dataset from c group by 1 having sum(frames)>=95)
       select dataset, episode, frames, row_number() over (order by dataset, episode)-1 as episode_index from c where dataset in (select dataset from k)""",
@@ -127,6 +129,8 @@ ORACLES = {
       q as (select bag_id, size, t+i*size pos from (select *, unnest(range(0, cast(pow(2,j) as bigint))) i from p)),
       k as (select q.*, row_number() over (partition by bag_id order by size desc, pos) rn from q)
       select bag_id, t, false as inserted from r union all select bag_id, cast(trunc(pos+size/2) as bigint), true from k join n using(bag_id) where rn<=tg-c""",
+    "stream_batches": f"""with {_E}, n as (select bag_id, t, (row_number() over (partition by bag_id order by t) - 1) // 20 as batch from e where bag_id is not null and t is not null)
+      select bag_id, batch, min(t) as first_t, max(t) as last_t, count(*) as n from n group by 1, 2""",
     "batch_windowed_nearest": f"""with {_FRAMES}, m as (select bag_id, id, t, frame//20 as batch from f where key='view'),
       s as (select bag_id, batch, min(t) a, max(t) b from m group by 1,2), z as (select *, lag(b) over (partition by bag_id order by batch) pb from s),
       w as (select bag_id, batch, greatest(a-{2 * _HOUR}, coalesce(pb+1, a-{2 * _HOUR})) lo, b+{_HOUR} hi from z),
