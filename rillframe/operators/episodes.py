@@ -111,3 +111,75 @@ def concat_datasets(parts: list[DataFrame], order: list[list[str]]) -> DataFrame
 def summary(episodes: DataFrame, frames: str, fps: float) -> DataFrame:
     total = episodes.agg(F.count("*").alias("episodes"), F.coalesce(F.sum(frames), F.lit(0)).cast("bigint").alias("frames"))
     return total.select("episodes", "frames", F.ceil(F.col("episodes") / 1000).alias("chunks"), (F.col("frames") / fps).alias("seconds"), (F.col("frames") / fps / 3600).alias("hours"))
+
+
+def commit_episodes(frames: DataFrame, episode: str, order: list[str], task: str, fps: float, start_index: int = 0, known_tasks: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(frames, tasks) of new episodes: frames with episode_index, frame_index, timestamp, index and task_index; the task dictionary.
+
+    Episodes and frames are numbered on after ``start_index`` frames; tasks in ``known_tasks`` (task,
+    task_index) keep their numbers and new ones are numbered on by first appearance.
+    """
+    rows = number_frames(frames, episode, order, fps).withColumn("index", F.col("index") + start_index)
+    places = numbered(frames.select(episode).distinct(), [episode], "episode_index")
+    seen = frames.select(task, F.struct(episode, *order).alias("_at")).where(F.col(task).isNotNull())
+    tasks = encode_tasks(seen, task, ["_at"])
+    if known_tasks is not None:
+        last = known_tasks.agg(F.max("task_index")).first()[0]  # one number
+        base = 0 if last is None else last + 1
+        fresh = encode_tasks(seen.join(known_tasks.select(task), task, "left_anti"), task, ["_at"]).withColumn("task_index", F.col("task_index") + base)
+        tasks = known_tasks.select(task, "task_index").unionByName(fresh)
+    return rows.join(places, episode).join(tasks, task, "left"), tasks
+
+
+def commit_check(frames: DataFrame, episodes: DataFrame) -> DataFrame:
+    """(episode_index, what): episodes whose frames do not number from 0 without holes, or differ in number from ``episodes`` (episode_index, length)."""
+    per = frames.groupBy("episode_index").agg(F.count("*").alias("_n"), F.min("frame_index").alias("_a"), F.max("frame_index").alias("_b"), F.countDistinct("frame_index").alias("_d"))
+    both = per.join(episodes.select("episode_index", "length"), "episode_index", "full")
+    bad = F.array(
+        F.when(F.coalesce(F.col("_n"), F.lit(0)) != F.coalesce("length", F.lit(0)), F.lit("length")), F.when((F.col("_a") != 0) | (F.col("_b") != F.col("_n") - 1) | (F.col("_d") != F.col("_n")), F.lit("frames"))
+    )
+    return both.select("episode_index", F.explode(F.filter(bad, lambda x: x.isNotNull())).alias("what"))
+
+
+def frame_manifest(frames: DataFrame, episode: str, stream: str, order: list[str], fps: float, segment: int = 800, group: int = 2) -> DataFrame:
+    """What an encoder is to write, in order: adds ordinal, segment, place in it, keyframe flag, time and the file of each frame."""
+    n = (F.row_number().over(Window.partitionBy(episode, stream).orderBy(*order)) - 1).cast("bigint")
+    size, gop = F.lit(segment).cast("bigint"), F.lit(group).cast("bigint")
+    rows = frames.withColumn("ordinal", n)
+    rows = rows.withColumns({"segment": F.call_function("div", F.col("ordinal"), size), "place": F.col("ordinal") % size, "pts": F.col("ordinal") / fps})
+    return rows.withColumns({"keyframe": F.col("place") % gop == 0, "file": F.format_string("videos/%s/%s/segment_%04d.mp4", F.col(stream), F.col(episode), F.col("segment"))})
+
+
+def ordered_unique(df: DataFrame, keys: list[str], value: str, order: list[str]) -> DataFrame:
+    """(keys, value, place): the distinct values of each key in the order of their first appearance."""
+    first = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.min(F.struct(*order)).alias("_f"))
+    return first.withColumn("place", (F.row_number().over(Window.partitionBy(*keys).orderBy("_f", value)) - 1).cast("bigint")).drop("_f")
+
+
+def merge_with_tasks(frames: DataFrame, dataset: str, episode: str, task: str, least: int) -> DataFrame:
+    """(dataset, episode, episode_index, from_index, to_index, task_index) of all datasets with at least ``least`` frames.
+
+    ``frames`` has a row per frame.  Episodes and frames are numbered on over the datasets; tasks have
+    one dictionary, in the order of their first episode, null where an episode has none.
+    """
+    lengths = frames.groupBy(dataset, episode).agg(F.count("*").alias("frames"), F.min(task).alias(task))
+    merged = merge_datasets(lengths, dataset, episode, "frames", least)
+    places = running_sum(merged, ["episode_index"], "frames", "to_index").withColumn("from_index", F.col("to_index") - F.col("frames"))
+    named = places.join(lengths.select(dataset, episode, task), [dataset, episode])
+    return named.join(encode_tasks(named, task, ["episode_index"]), task, "left").select(dataset, episode, "episode_index", "from_index", "to_index", "task_index")
+
+
+def item(frames: DataFrame, tasks: DataFrame, episode: str, frame: str, index: int, values: list[str], deltas: list[int]) -> DataFrame:
+    """One item of a dataset by its ``index``: the rows of its delta window with the text of its task (random access)."""
+    asked = frames.where(F.col("index") == index).select(episode, F.col(frame).alias("_f"), "task_index")
+    window = delta_window(frames.join(asked.select(episode), episode, "left_semi"), episode, frame, values, deltas)
+    hit = window.join(asked, episode).where(F.col(frame) == F.col("_f")).drop("_f")
+    return decode_tasks(hit, tasks, "task").drop("task_index")
+
+
+def properties(frames: DataFrame, fps: float, episode: str, widths: dict[str, int] | None = None) -> DataFrame:
+    """(name, value): totals, rate, and the kind and width of each column, as text."""
+    total = frames.agg(F.countDistinct(episode).cast("string").alias("episodes"), F.count("*").cast("string").alias("frames"))
+    facts = [F.struct(F.lit(n).alias("name"), v.alias("value")) for n, v in (("total_episodes", F.col("episodes")), ("total_frames", F.col("frames")), ("fps", F.lit(f"{fps:g}")))]
+    facts += [F.struct(F.lit(f"feature.{f.name}").alias("name"), F.lit(f"{f.dataType.simpleString()}[{(widths or {}).get(f.name, 1)}]").alias("value")) for f in frames.schema.fields]
+    return total.select(F.explode(F.array(*facts)).alias("p")).select("p.*")

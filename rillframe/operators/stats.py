@@ -75,3 +75,9 @@ def normalise(df: DataFrame, stats: DataFrame, keys: list[str], vector: str, mod
     packed = stats.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", center.alias("c"), width.alias("w")))).alias("_s"))  # one entry per dimension
     scaled = F.zip_with(F.col(vector).cast("array<double>"), F.col("_s"), lambda x, s: F.when(s["w"] > 0, (x - s["c"]) / s["w"]).otherwise(0.0))
     return df.join(packed, keys).withColumn(vector, scaled).drop("_s")
+
+
+def time_shifts(parts: DataFrame, keys: list[str], order: list[str], n: str, fps: float) -> DataFrame:
+    """Adds ``shift``, the frames of all earlier parts of a key over the rate, and ``total``, the frames of all its parts."""
+    before = F.sum(n).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
+    return parts.withColumns({"shift": F.coalesce(before, F.lit(0)) / fps, "total": F.sum(n).over(Window.partitionBy(*keys))})

@@ -226,7 +226,7 @@ def annotation_range(spark, d):
 def metadata_normalise(spark, d):
     files = table(spark, d, "sidecar_files").where("doc_kind = 'metadata'").select("file_id", "body").distinct()
     valid = files.where(F.expr("try_parse_json(body) is not null"))
-    return annotations.normalise_metadata(valid, "body").select("file_id", "generation", "n_marks", F.col("scene").isNotNull().alias("has_scene"))
+    return annotations.normalise_metadata(valid, "body").drop("body")
 
 
 @query

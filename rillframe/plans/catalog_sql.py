@@ -83,7 +83,9 @@ ORACLES = {
       x as (select *, starts_with(m,'[') nw from (select file_id, body, coalesce(json_extract_string(body,'$.marks'),'') m, coalesce(json_extract_string(body,'$.moments'),'') o from b))
       select file_id, case when nw then 'new' else 'old' end as generation,
         coalesce(case when nw and json_valid(m) then json_array_length(m) when not nw and json_valid(o) and starts_with(o,'[') then json_array_length(o) end, 0)::bigint as n_marks,
-        coalesce(nullif(trim(json_extract_string(body,'$.primaryScene')),''), nullif(trim(json_extract_string(body,'$.scene_code')),'')) is not null as has_scene from x""",
+        """
+    + ", ".join(f"coalesce(nullif(trim(json_extract_string(body,'$.{a}')),''), nullif(trim(json_extract_string(body,'$.{b}')),'')) as {n}" for a, b, n in (("primaryScene", "scene_code", "scene"), ("tertiaryScene", "sub_scene_code", "sub_scene"), ("taskName", "task_name", "task"), ("deviceSn", "device_sn", "device")))
+    + " from x",
     "device_rules": """with r as (select distinct bag_id, device_sn, cast(cast(make_timestamp(start_us) as date) as varchar) as day from recordings),
       k(device_sn, since, until, action) as (values ('KV66U1013','0000','2026-06-30','flip'),('KV66U1013','2026-07-01','9999','swap'),('KV28L1048','2025-06-01','2026-01-31','flip'))
       select bag_id, min(action) as action from r left join k on r.device_sn=k.device_sn and day between since and until group by bag_id""",

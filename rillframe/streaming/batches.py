@@ -55,3 +55,20 @@ def windowed_rate(stream: DataFrame, key: str, event_time: str, late: str = "10
     """Messages per key and event-time window (sliding with ``slide``), with a watermark for late ones."""
     w = F.window(event_time, width, slide) if slide else F.window(event_time, width)
     return stream.withWatermark(event_time, late).groupBy(w, key).agg(F.count("*").alias("n"))
+
+
+def open_stream(spark: SparkSession, path: str, schema, max_files: int = 100) -> DataFrame:
+    """A stream of parquet files, at most ``max_files`` a batch, so that a slow reader is not flooded."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path)
+
+
+def live_messages(stream: DataFrame, body: str, received: str, payload: str, topics: list[str]) -> DataFrame:
+    """(topic, stamp, payload...) of JSON messages of some topics; the stamp is the header's, or the time of receipt."""
+    parsed = stream.select(F.from_json(body, f"topic string, header struct<stamp_us bigint>, {payload}").alias("m"), F.col(received).alias("_r"))
+    names = [x.split()[0] for x in payload.split(", ")]
+    return parsed.where(F.col("m.topic").isin(topics)).select("m.topic", F.coalesce("m.header.stamp_us", "_r").alias("stamp"), *[F.col(f"m.{n}") for n in names])
+
+
+def for_each_batch(stream: DataFrame, callback, checkpoint: str, mode: str = "append"):
+    """Starts a query that hands every batch of a stream (a table and its number) to a callback, until nothing is left to read."""
+    return stream.writeStream.outputMode(mode).foreachBatch(callback).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

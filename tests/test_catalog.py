@@ -12,12 +12,12 @@ from rillframe.functions import kinematics, vectors
 from rillframe.functions.images import clip_depth, denoise_depth, still_prefix
 from rillframe.operators import asof, clean, stats, timeline
 from rillframe.operators.episodes import delta_frames
-from rillframe.plans import catalog, catalog_sql, chains, features, training, training_sql
+from rillframe.plans import catalog, catalog_sql, chains, features, metadata, training, training_sql
 from rillframe.sinks.datasets import dataset_info, write_episodes
 from rillframe.sources.datasets import deepest_datasets, read_episodes, recordings_in
 
 DATA = "/root/testdata/sf0.001"
-PARTS = (features.R, chains.R)
+PARTS = (features.R, chains.R, metadata.R)
 TWINS = {**catalog_sql.ORACLES, **training_sql.ORACLES, **{k: q for p in PARTS for k, q in p.oracles.items()}}
 ALL = {**catalog.QUERIES, **training.QUERIES, **{k: q for p in PARTS for k, q in p.queries.items()}}
 
