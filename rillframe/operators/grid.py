@@ -58,7 +58,7 @@ def regular_grid(
     rows = readings.select(
         F.col(entity).cast(kind).alias("entity"), F.col(source).alias("source"), F.col(time).cast("bigint").alias("t"), F.col(value).cast("array<double>").alias("v")
     ).where("entity is not null and source is not null and t is not null and size(v) > 0")
-    rows = rows.withColumn("chunk", floor_div(F.col("t"), width))
+    rows = rows.withColumn("chunk", floor_div(F.col("t"), width)).repartition("entity", "chunk")  # below the join, where all uses need the same columns
     within = rows.join(chunks, ["entity", "chunk"], "left").withColumn("inside", F.coalesce(F.col("t").between(F.col("start"), F.col("stop") - 1), F.lit(False)))
 
     # inside readings first; no condition on them is put below the window, so both uses share one exchange
