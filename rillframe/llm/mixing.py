@@ -3,7 +3,8 @@
 Documents are aggregated by the set of sources they belong to (copies of one text belong to all their
 sources).  Token capacity is routed from these patterns to the sources' quotas; the k-th use of a text
 costs k, so repetition starts only where it must.  The flow problem is as large as the number of
-patterns.  Each routed amount is then filled with documents in a seeded order.
+patterns.  Each routed amount is then filled with documents in a seeded order; where the last one is
+too long for what is left of the amount, shorter ones that come next fill it.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from rillframe.session import cut_lineage
 
 _BUCKETS = 1024
+_NEXT = 200  # texts after the end of a source's arc that may fill what is left of its quota
 
 
 class _Graph:
@@ -100,8 +102,9 @@ def mix(documents: DataFrame, targets: DataFrame, size: int | None = None, seed:
     ``documents`` has (doc_id, source, digest, n_tokens); texts with one digest are one text that
     belongs to the sources of all its rows.  ``targets`` has (source, target_share, max_repeats), one
     row per source: a handful (it is read by the driver).  A text is used at most max_repeats times
-    for a source.  The total is ``size`` tokens, or the largest all shares allow.  A source's tokens
-    differ from its quota by less than one text for each pattern it draws from.
+    for a source.  The total is ``size`` tokens, or the largest all shares allow.  From each pattern a
+    source takes texts up to its amount; of the last one and the ``_NEXT`` texts after it those that
+    come nearest to the amount are taken, so that the miss is about as small as the smallest of them.
 
     Sources are compared without regard to case, spaces and hyphens.  Documents of sources without a
     target, without tokens, or with a null id, source or digest are not used; where a text has several
@@ -134,9 +137,40 @@ def mix(documents: DataFrame, targets: DataFrame, size: int | None = None, seed:
     placed = texts.withColumn("inner", F.coalesce(F.sum("n_tokens").over(inner), F.lit(0))).join(per, ["pattern", "bucket"]).withColumn("at", F.col("ahead") + F.col("inner"))
     # the texts of a pattern lie on a circle of all its tokens; a source takes an arc that may go round several times
     hits = lambda end: F.ceil((F.col(end) - F.col("at")) / F.col("around"))
-    used = placed.join(plan, "pattern").withColumn("copies", (hits("high") - hits("low")).cast("bigint")).where("copies > 0")
+    spread = placed.join(plan, "pattern").withColumn("copies", (hits("high") - hits("low")).cast("bigint"))
     own = F.filter("members", lambda m: m["source"] == F.col("source"))[0]["doc_id"]
-    return used.select(own.alias("doc_id"), "source", "copies", "n_tokens")
+    spread = spread.select("pattern", "source", "low", "high", "around", "at", "copies", "n_tokens", own.alias("doc_id"))
+    # one text at most reaches over the end of an arc; the texts after it are those at the least distance
+    behind, ahead = F.pmod(F.col("high") - F.col("at"), F.col("around")), F.pmod(F.col("at") - F.col("high"), F.col("around"))
+    over = spread.where((F.col("copies") > 0) & (behind > 0) & (behind < F.col("n_tokens"))).select("pattern", "source", "doc_id", "n_tokens", "copies", behind.alias("room"))
+    rank = F.row_number().over(Window.partitionBy("pattern", "source").orderBy("ahead", "doc_id"))
+    after = spread.withColumn("ahead", ahead).withColumn("rank", rank).where(F.col("rank") <= _NEXT).select("pattern", "source", "doc_id", "n_tokens", "copies", "rank")
+    ends = {(r.pattern, r.source): r for r in over.collect()}  # one per pattern and source
+    rest: dict[tuple, list] = {}
+    for r in after.collect():  # _NEXT per pattern and source
+        rest.setdefault((r.pattern, r.source), []).append(r)
+    changes = []
+    for key, end in ends.items():
+        others = [(r.doc_id, r.n_tokens) for r in sorted(rest.get(key, []), key=lambda r: r["rank"]) if r.doc_id != end.doc_id and r.copies < repeats[key[1]]]
+        changes += [(key[1], *c) for c in finish((end.doc_id, end.n_tokens), end.room, others)]
+    fixes = documents.sparkSession.createDataFrame([(d, x, n, t) for x, d, n, t in changes], f"doc_id {documents.schema['doc_id'].dataType.simpleString()}, source string, copies bigint, n_tokens bigint")
+    both = spread.where("copies > 0").select("doc_id", "source", "copies", F.col("n_tokens").cast("bigint").alias("n_tokens")).unionByName(fixes)
+    used = both.groupBy("doc_id", "source").agg(F.sum("copies").alias("copies"), F.max("n_tokens").alias("n_tokens"))
+    return used.where("copies > 0").select("doc_id", "source", "copies", "n_tokens")
+
+
+def finish(end: tuple, room: int, others: list[tuple]) -> list[tuple]:
+    """Changes (doc_id, copies, n_tokens) at the end of an arc whose last text has only ``room`` tokens of place.
+
+    Either the text stays, or it goes and those of ``others`` take its place that fit, in their order;
+    whichever comes nearer to ``room``.
+    """
+    taken, left = [], room
+    for doc, n in others:
+        if n <= left:
+            taken.append((doc, 1, n))
+            left -= n
+    return [] if end[1] - room <= left else [(end[0], -1, end[1]), *taken]
 
 
 def share_report(mixed: DataFrame, targets: DataFrame) -> DataFrame:

@@ -1,13 +1,18 @@
 """Packing, mixing and subjects: invariants, brute force on small cases, held-out accuracy, edge cases."""
 
+import glob
+import os
 import random
 
+import duckdb
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from rillframe.llm.mixing import mix, route, share_report
+from rillframe.llm.mixing import finish, mix, route, share_report
 from rillframe.llm.packing import configurations, fill_report, pack, place_small
-from rillframe.llm.subjects import classify, sentences, subjects_of, train
+from rillframe.llm.subjects import classify, grams, sentences, subjects_of, train
+from rillframe.llm import queries
 from rillframe.llm.tokens import count_tokens, token_counts
 
 
@@ -102,3 +107,44 @@ def test_sentences_and_tokens(spark):
     assert sentences(None) == [] and count_tokens("hello world") == 2
     got = token_counts(spark.createDataFrame([(1, "hello world"), (2, None), (3, ""), (4, "a" * 300_000)], "doc_id long, text string"), "doc_id", "text").orderBy("doc_id").collect()
     assert [r.n_tokens for r in got][:3] == [2, 0, 0] and got[3].n_tokens > 0
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_invariants(spark, name):
+    """What packing, mixing and subjects must keep, on the small data."""
+    duck = duckdb.connect()
+    for f in glob.glob("/root/testdata/sf0.01/*.parquet"):
+        duck.execute(f"create view {os.path.basename(f)[:-8]} as select * from '{f}'")
+    df = queries.QUERIES[name](spark, "/root/testdata/sf0.01")
+    cols = sorted(df.columns)
+    got = sorted(repr([r[c] for c in cols]) for r in df.collect())
+    cur = duck.execute(queries.ORACLES[name])
+    at = [c[0] for c in cur.description]
+    assert sorted(at) == cols
+    assert got == sorted(repr([r[at.index(c)] for c in cols]) for r in cur.fetchall())
+
+
+def test_grams_of_all_sentences_at_once():
+    """Hashing many sentences together gives each what it has alone; repeated, empty and odd ones included."""
+    parts = ["The red kettle boils.", "", "12 34", "The red kettle boils.", "咖啡机 coffee", "a\nb", "İstanbul extraordinarily long words " * 300]
+    start, cols = grams(parts)
+    for i, p in enumerate(parts):
+        alone_start, alone = grams([p])
+        assert list(cols[start[i] : start[i + 1]]) == list(alone) and len(alone) == alone_start[1]
+    assert len(grams([])[1]) == 0
+
+
+def test_finish():
+    """A last text that is far too long gives way to shorter ones; one that nearly fits stays."""
+    assert finish((1, 1000), 100, [(2, 60), (3, 50), (4, 40)]) == [(1, -1, 1000), (2, 1, 60), (4, 1, 40)]
+    assert finish((1, 105), 100, [(2, 60), (3, 90)]) == [] and finish((1, 120), 50, []) == [(1, -1, 120)]
+
+
+def test_mix_with_a_giant_text(spark):
+    """One text as large as a source's quota does not spoil the shares."""
+    rng = random.Random(9)
+    data = [(i, rng.choice("ab"), f"t{i}", rng.randrange(20, 90)) for i in range(600)] + [(9000 + i, "a", f"g{i}", 6000) for i in range(3)]
+    docs = spark.createDataFrame(data, "doc_id long, source string, digest string, n_tokens long")
+    targets = spark.createDataFrame([("a", 0.3, 1), ("b", 0.7, 1)], "source string, target_share double, max_repeats long")
+    for seed in range(6):
+        assert all(abs(r.actual_share - r.target_share) < 0.01 for r in share_report(mix(docs, targets, seed=seed), targets).collect())
