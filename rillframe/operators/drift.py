@@ -12,9 +12,10 @@ from __future__ import annotations
 import difflib
 import functools
 import hashlib
+import itertools
 import json
 import re
-from collections import defaultdict
+from collections import defaultdict, namedtuple
 from collections.abc import Iterator
 
 import numpy as np
@@ -65,13 +66,23 @@ def _hash(text: str) -> int:
 
 
 def _number(v) -> float | None:
-    if isinstance(v, bool):
+    if isinstance(v, bool) or not isinstance(v, int | float | str):
+        return None
+    if isinstance(v, str) and not _NUMERIC.match(v):
         return None
     try:
-        x = float(v) if isinstance(v, int | float | str) else None
-    except ValueError:
+        x = float(v)
+    except (ValueError, OverflowError):
         return None
-    return x if x is not None and np.isfinite(x) else None
+    return x if x - x == 0 else None
+
+
+_NUMERIC = re.compile(r"\s*[-+.\dinIN]")
+
+
+@functools.lru_cache(1 << 16)
+def _words_of(v: str) -> tuple[str, ...]:
+    return tuple(("s:" + re.sub(r"\d", "9", w)) if re.search(r"\d", w) else "w:" + w.lower() for w in v.split())
 
 
 def _features(v) -> list[str]:
@@ -81,7 +92,7 @@ def _features(v) -> list[str]:
     if (x := _number(v)) is not None:
         return [f"n:{x:g}"]
     if isinstance(v, str):
-        return [("s:" + re.sub(r"\d", "9", w)) if re.search(r"\d", w) else "w:" + w.lower() for w in v.split()]
+        return list(_words_of(v))
     if isinstance(v, dict):
         return [f for x in v.values() for f in _features(x)] if list(v) == ["value"] else [f"k:{k}" for k in v]
     if isinstance(v, list):
@@ -158,19 +169,24 @@ def _segment(exporter: str, files: list[tuple[int, int, int]], prints: list[dict
 def _to_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([(n, {"bigint": pa.int64(), "string": pa.string(), "double": pa.float64(), "array<bigint>": pa.list_(pa.int64())}[t]) for n, t in (x.split() for x in _RUNS.split(", "))])
     exporter, files, prints, known, profiles, last = None, [], [], {}, defaultdict(_Profile), None
+    ready: list[tuple] = []
 
-    def flush():
-        if not files:
-            return None
-        rows = _segment(exporter, files, prints, profiles)
-        return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+    def flush() -> None:
+        if files:
+            ready.extend(_segment(exporter, files, prints, profiles))
+
+    def packed() -> pa.RecordBatch:
+        out = pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*ready), schema)], schema=schema)
+        ready.clear()
+        return out
 
     for batch in batches:
         cols = [batch.column(i).to_pylist() for i in range(4)]
         for who, at, file_id, body in zip(*cols):
             if who != exporter:
-                if (out := flush()) is not None:
-                    yield out
+                flush()
+                if len(ready) > 10_000:
+                    yield packed()
                 exporter, files, prints, known, profiles, last = who, [], [], {}, defaultdict(_Profile), None
             if file_id == last:
                 continue  # a repeated row
@@ -189,8 +205,9 @@ def _to_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 known[mark] = len(prints)
                 prints.append(shape)
             files.append((file_id, at, known[mark]))
-    if (out := flush()) is not None:
-        yield out
+    flush()
+    if ready:
+        yield packed()
 
 
 def _words(name: str) -> list[str]:
@@ -239,26 +256,32 @@ def _match(added: list[str], removed: list[str], profiles, kinds) -> list[tuple[
     return out
 
 
-def walk(rows: pd.DataFrame) -> list[tuple]:
+_Run = namedtuple("_Run", [x.split()[0] for x in _RUNS.split(", ")])
+
+
+def walk(rows: list[tuple]) -> list[tuple]:
     """Migration steps and name epochs of one exporter from its runs: (kind, file_id, at, until, change, old, new, type)."""
-    segs = rows[rows.kind == "files"].sort_values("seg")
-    order = {s: i for i, s in enumerate(segs.seg)}
-    start = {i: (int(f), int(a)) for i, (f, a) in enumerate(zip(segs.file_id, segs["at"]))}
-    count = dict(zip(segs.seg.map(order), segs.n))
+    by_kind: dict[str, list[_Run]] = defaultdict(list)
+    for r in map(_Run._make, rows):
+        by_kind[r.kind].append(r)
+    segs = sorted(by_kind["files"], key=lambda r: r.seg)
+    order = {r.seg: i for i, r in enumerate(segs)}
+    start = {i: (r.file_id, r.at) for i, r in enumerate(segs)}
+    count = {i: r.n for i, r in enumerate(segs)}
     profiles: dict[str, _Profile] = defaultdict(_Profile)
-    for r in rows[rows.kind == "profile"].itertuples():
+    for r in by_kind["profile"]:
         p = profiles[r.path]
-        for h in r.features if r.features is not None else ():
-            p.add_hash(int(h))
-        if pd.notna(r.low):
+        for h in r.features or ():
+            p.add_hash(h)
+        if r.low is not None:
             p.low, p.high, p.whole = min(p.low, r.low), max(p.high, r.high), min(p.whole, r.whole)
     lists: dict[str, dict[int, tuple]] = defaultdict(dict)
-    for r in rows[rows.kind == "list"].itertuples():
-        lists[r.path][order[r.seg]] = ((order[r.seg], r.i0), (order[r.seg], r.i1), int(r.file_id), int(r.at), int(r.n))
+    for r in by_kind["list"]:
+        lists[r.path][order[r.seg]] = ((order[r.seg], r.i0), (order[r.seg], r.i1), r.file_id, r.at, r.n)
     raw: dict[tuple, list] = defaultdict(list)
-    for r in rows[rows.kind.isin(["presence", "type"])].itertuples():
-        s = order[r.seg]
-        raw[r.kind, r.path].append(((s, r.i0), (s, r.i1), int(r.file_id), int(r.at), int(r.n), r.val))
+    for kind in ("presence", "type"):
+        for r in by_kind[kind]:
+            raw[kind, r.path].append(((order[r.seg], r.i0), (order[r.seg], r.i1), r.file_id, r.at, r.n, r.val))
     paths = sorted({p for k, p in raw if k == "presence"})
     for path in paths:  # stretches of an exporter in which a field never occurs
         here = {x[0][0] for x in raw["presence", path]}
@@ -266,7 +289,7 @@ def walk(rows: pd.DataFrame) -> list[tuple]:
         for s in count:
             if s not in here:
                 if owner is None:
-                    raw["presence", path].append(((s, 0), (s, int(count[s]) - 1), *start[s], int(count[s]), "False"))
+                    raw["presence", path].append(((s, 0), (s, count[s] - 1), *start[s], count[s], "False"))
                 elif s in lists[owner]:
                     raw["presence", path].append((*lists[owner][s], "False"))
 
@@ -428,14 +451,22 @@ def migration_steps(files: DataFrame, exporter: str, at: str, file_id: str, body
     mine = seen.drop("features", "low", "high", "whole").join(sketches, "leaf", "left").select(*runs.columns)
     runs = runs.where("kind <> 'profile'").unionByName(mine)
 
-    def per_exporter(pdf: pd.DataFrame) -> pd.DataFrame:
-        names = [x.split()[0] for x in _STEPS.split(", ")]
-        out = pd.DataFrame([(pdf.exporter.iloc[0], *s) for s in walk(pdf)], columns=names)
-        for c in ("file_id", "at", "until"):
-            out[c] = out[c].astype("Int64")
-        return out
-
-    return runs.groupBy("exporter").applyInPandas(per_exporter, _STEPS)
+    return runs.repartition("exporter").sortWithinPartitions("exporter").mapInArrow(_walks, _STEPS)
+
+
+def _walks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Steps of whole exporters, one after the other."""
+    names = [x.split()[0] for x in _STEPS.split(", ")]
+    schema = pa.schema([(n, pa.int64() if n in ("file_id", "at", "until") else pa.string()) for n in names])
+    runs = (r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns)))
+    out: list[tuple] = []
+    for who, mine in itertools.groupby(runs, key=lambda r: r[0]):
+        out += [(who, *x) for x in walk(list(mine))]
+        if len(out) > 10_000:
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+            out = []
+    if out:
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
 
 def schema_changes(files: DataFrame, exporter: str, at: str, file_id: str, body: str) -> DataFrame:
