@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rillframe.operators.clean import SLICE
 from rillframe.session import floor_div
 
 
-def nearest_asof(main: DataFrame, other: DataFrame, keys: list[str], time: str, order: str, tie: str = "later", slice_width: int | None = None) -> DataFrame:
+def nearest_asof(main: DataFrame, other: DataFrame, keys: list[str], time: str, order: str, tie: str = "later", slice_width: int | None = SLICE) -> DataFrame:
     """Every main row with the time and ``order`` of the nearest other row of its keys.
 
     Adds ``near_t``, ``near_id`` and ``delta`` (near_t - t), null where the keys have no other row.  Of
@@ -16,8 +17,9 @@ def nearest_asof(main: DataFrame, other: DataFrame, keys: list[str], time: str,
     before the main row and the first after it (with tie ``first`` the earlier, and always the first).  Both sides have the columns ``keys``, ``time``
     (integer) and ``order`` (unique within keys); other columns of main are kept.
 
-    One exchange by the keys; with ``slice_width`` by (keys, slice of time), for keys with very many
-    rows: then the last other row before and the first after each slice come from a summary of slices.
+    One exchange by (keys, slice of time), so that a key with most of the rows is spread over its slices;
+    the last other row before and the first after each slice come from a summary of slices.  With
+    ``slice_width`` null the exchange is by the keys alone, for keys known to be small.
     Rows with a null time or key have no neighbour (null keys match nothing).
     """
     if tie not in ("later", "earlier", "first"):
@@ -106,5 +108,5 @@ def window_nearest(main: DataFrame, other: DataFrame, keys: list[str], time: str
     spans = spans.withColumn("_low", F.greatest(F.col("_a") - lead_in, F.coalesce(before + 1, F.col("_a") - lead_in))).withColumn("_high", F.col("_b") + lead_out)
     renamed = other.select(*keys, F.col(time).alias("_ot"), F.col(order).alias("_oid"))
     inside = in_windows(renamed, spans.select(*keys, batch, "_low", "_high"), keys, "_ot", "_low", "_high", 4 * (lead_in + lead_out))
-    found = nearest_asof(main, inside.select(*keys, batch, F.col("_ot").alias(time), F.col("_oid").alias(order)), [*keys, batch], time, order)
+    found = nearest_asof(main, inside.select(*keys, batch, F.col("_ot").alias(time), F.col("_oid").alias(order)), [*keys, batch], time, order, slice_width=None)
     return found

@@ -62,7 +62,7 @@ def main_timeline(df: DataFrame, entity: list[str], key: str, time: str, order:
     return kept.select(*entity, key, F.col(time).alias("t"), frame.alias("frame"))
 
 
-def align(main: DataFrame, df: DataFrame, entity: list[str], key: str, time: str, order: str, limit: int, slice_width: int | None = None) -> DataFrame:
+def align(main: DataFrame, df: DataFrame, entity: list[str], key: str, time: str, order: str, limit: int, slice_width: int | None = clean.SLICE) -> DataFrame:
     """(entity, key, frame, t, near_id, near_t, corrected): every frame of a timeline with the nearest row of each key.
 
     ``main`` has (entity, frame, t), one row per frame; rows of ``df`` are first made distinct by time.
@@ -127,7 +127,7 @@ def two_stage_nearest(main: DataFrame, other: DataFrame, keys: list[str], time:
     loaded = asof.in_windows(other.select(*keys, F.col(time).alias("_target"), order), spans, keys, "_target", "_low", "_high", 4 * pad)
     rest = [c for c in first.columns if c not in (*keys, chunk, "_target")]
     packed = first.select(*keys, chunk, "_target", F.struct(*rest).alias("_main"))
-    found = asof.nearest_asof(packed, loaded.select(*keys, chunk, "_target", order), [*keys, chunk], "_target", order, "earlier")
+    found = asof.nearest_asof(packed, loaded.select(*keys, chunk, "_target", order), [*keys, chunk], "_target", order, "earlier", None)
     return found.select(*keys, chunk, *[F.col("_main")[c].alias(c) for c in rest], "near_t", "near_id")
 
 

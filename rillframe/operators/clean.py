@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rillframe.session import floor_div
+
 
 def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per keys: the first in ``order``."""
@@ -12,25 +14,41 @@ def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return df.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
 
 
-def gaps(df: DataFrame, keys: list[str], time: str, limit: int) -> DataFrame:
+SLICE = 3_600_000_000  # microseconds of a key that one task puts in order
+
+
+def with_next(df: DataFrame, keys: list[str], time: str, name: str, slice_width: int = SLICE) -> DataFrame:
+    """Adds the next time of the same keys, null for the last and for null times.
+
+    A key's rows are put in order in slices of time, so that one with most of the rows is spread over many
+    tasks; the last row of a slice takes the first time of the next slice that has any, from one row a slice.
+    """
+    slice_of = floor_div(F.col(time).cast("bigint"), F.lit(slice_width).cast("bigint"))
+    rows = df.withColumn("_slice", slice_of)
+    inner = F.lead(time).over(Window.partitionBy(*keys, "_slice").orderBy(time))
+    heads = rows.where("_slice is not null").groupBy(*keys, "_slice").agg(F.min(time).alias("_head"))
+    heads = heads.select(*keys, "_slice", F.lead("_head").over(Window.partitionBy(*keys).orderBy("_slice")).alias("_after"))
+    same = [F.col(f"r.{k}").eqNullSafe(F.col(f"h.{k}")) for k in keys] + [F.col("r._slice") == F.col("h._slice")]
+    joined = rows.withColumn("_inner", F.when(F.col(time).isNotNull(), inner)).alias("r").join(heads.alias("h"), same, "left")
+    return joined.select(*[F.col(f"r.{c}") for c in df.columns], F.coalesce("r._inner", "h._after").alias(name))
+
+
+def gaps(df: DataFrame, keys: list[str], time: str, limit: int, slice_width: int = SLICE) -> DataFrame:
     """(keys, gap_start, gap): differences of successive times above ``limit``."""
-    w = Window.partitionBy(*keys).orderBy(time)
-    seen = df.where(F.col(time).isNotNull()).select(*keys, F.col(time).alias("gap_start"), (F.lead(time).over(w) - F.col(time)).alias("gap"))
-    return seen.where(F.col("gap") > limit)
+    seen = with_next(df.where(F.col(time).isNotNull()).select(*keys, time), keys, time, "_next", slice_width)
+    return seen.select(*keys, F.col(time).alias("gap_start"), (F.col("_next") - F.col(time)).alias("gap")).where(F.col("gap") > limit)
 
 
-def fill_gaps(df: DataFrame, keys: list[str], time: str, limit: Column | int) -> DataFrame:
+def fill_gaps(df: DataFrame, keys: list[str], time: str, limit: Column | int, slice_width: int = SLICE) -> DataFrame:
     """All rows and, in each gap above ``limit``, evenly spaced copies of the row before it, flagged ``interpolated``.
 
     A gap gets ceil(gap / limit) - 1 copies; a gap exactly at the limit gets none.  ``limit`` may be a
     column (a limit per kind of key).
     """
     lim = limit if isinstance(limit, Column) else F.lit(limit).cast("bigint")
-    w = Window.partitionBy(*keys).orderBy(time)
-    gap = F.lead(time).over(w) - F.col(time)
-    k = F.when(gap > lim, F.call_function("div", gap + lim - 1, lim) - 1).otherwise(0)
-    rows = df.withColumns({"_gap": gap, "_k": F.coalesce(k, F.lit(0)).cast("bigint")})
-    steps = rows.withColumn("_i", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_k"))))
+    rows = with_next(df, keys, time, "_gap", slice_width).withColumn("_gap", F.col("_gap") - F.col(time))
+    k = F.when(F.col("_gap") > lim, F.call_function("div", F.col("_gap") + lim - 1, lim) - 1).otherwise(0)
+    steps = rows.withColumn("_k", F.coalesce(k, F.lit(0)).cast("bigint")).withColumn("_i", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_k"))))
     filled = steps.withColumn("interpolated", F.col("_i") > 0).withColumn(time, F.when(F.col("_i") > 0, F.col(time) + F.call_function("div", F.col("_i") * F.col("_gap"), F.col("_k") + 1)).otherwise(F.col(time)))
     return filled.drop("_gap", "_k", "_i")
 

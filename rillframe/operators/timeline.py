@@ -7,6 +7,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rillframe.operators.clean import with_next
+
 
 def drop_and_stride(df: DataFrame, keys: list[str], order: list[str], drop: int, stride: int) -> DataFrame:
     """Rows without the first and last ``drop`` of each key, every ``stride``-th of the rest."""
@@ -28,12 +30,14 @@ def insert_frames(df: DataFrame, keys: list[str], time: str, rate: float, least:
 
     Repeatedly halving the largest interval above ``least`` (ties to the leftmost) is the same as
     taking the N largest of the sub-intervals g / 2**j, so no loop is needed.  Times in microseconds.
+    Only the N largest intervals can be among them, and of the r-th largest no more than N - r + 1 parts.
     """
-    w = Window.partitionBy(*keys).orderBy(time)
-    rows = df.select(*keys, F.col(time).alias("t"), (F.lead(time).over(w) - F.col(time)).alias("g"))
+    rows = with_next(df.select(*keys, F.col(time).cast("bigint").alias("t")), keys, "t", "g").withColumn("g", F.col("g") - F.col("t"))
     need = rows.groupBy(*keys).agg(((F.max("t") - F.min("t")) / 1e6 * rate).cast("bigint").alias("target"), F.count("*").alias("have"))
-    depth = F.greatest(F.lit(0), F.ceil(F.log2(F.col("g") / F.lit(float(least)))).cast("int"))
-    levels = rows.where(F.col("g") > least).withColumn("j", F.explode(F.sequence(F.lit(0), depth)))
+    short = need.where("target > have").withColumn("want", F.col("target") - F.col("have"))
+    large = rows.where(F.col("g") > least).withColumn("r", F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("g").desc(), F.col("t")))).join(short.select(*keys, "want"), keys).where("r <= want")
+    depth = F.greatest(F.lit(0), F.least(F.ceil(F.log2(F.col("g") / F.lit(float(least)))), F.floor(F.log2(F.col("want") - F.col("r") + 1))).cast("int"))
+    levels = large.withColumn("j", F.explode(F.sequence(F.lit(0), depth)))
     size = F.col("g") / F.pow(F.lit(2.0), F.col("j"))
     parts = levels.withColumn("size", size).where(F.col("size") > least)
     parts = parts.withColumn("i", F.explode(F.sequence(F.lit(0).cast("bigint"), F.pow(F.lit(2.0), F.col("j")).cast("bigint") - 1)))
@@ -49,14 +53,13 @@ def thin_timeline(t: np.ndarray, target: int, windows: tuple[int, ...] = (5, 7,
 
     The victim is the centre of the odd window with the best score: largest interval, plus twice the
     spread of the intervals, minus their mean, all after removal; the smallest score wins, ties to the
-    shorter and then the earlier window.
+    shorter and then the earlier window.  Where the timeline is shorter than all windows, one of three
+    frames is used; the first and the last frame stay.
     """
     t = np.sort(np.asarray(t, float))
-    while len(t) > max(target, windows[0]):
+    while len(t) > max(target, 2):
         best = None
-        for size in windows:
-            if size > len(t):
-                break
+        for size in [w for w in windows if w <= len(t)] or [3]:
             starts = np.arange(len(t) - size + 1)
             step = (t[starts + size - 1] - t[starts]) / (size - 2)
             edge = np.maximum(np.r_[0, t[1:] - t[:-1]][starts], np.r_[t[1:] - t[:-1], 0][starts + size - 1])

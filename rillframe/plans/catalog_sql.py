@@ -131,6 +131,11 @@ ORACLES = {
       q as (select bag_id, size, t+i*size pos from (select *, unnest(range(0, cast(pow(2,j) as bigint))) i from p)),
       k as (select q.*, row_number() over (partition by bag_id order by size desc, pos) rn from q)
       select bag_id, t, false as inserted from r union all select bag_id, cast(trunc(pos+size/2) as bigint), true from k join n using(bag_id) where rn<=tg-c""",
+    "continuity_shift": f"""with recursive {_FRAMES}, s as (select bag_id, frame // 20 as batch, min(t) a, max(t) b from f group by 1, 2),
+      m as (select bag_id, batch, 0::bigint as shift, b as z from s where batch = 0 union all select s.bag_id, s.batch,
+        case when s.a - m.z between {_HOUR} and {6 * _HOUR} then 0 else m.z + {2 * _HOUR} - s.a end, s.b + case when s.a - m.z between {_HOUR} and {6 * _HOUR} then 0 else m.z + {2 * _HOUR} - s.a end
+        from m join s on s.bag_id = m.bag_id and s.batch = m.batch + 1)
+      select id, t + shift as t from f join m on f.bag_id = m.bag_id and f.frame // 20 = m.batch""",
     "stream_batches": f"""with {_E}, n as (select bag_id, t, (row_number() over (partition by bag_id order by t) - 1) // 20 as batch from e where bag_id is not null and t is not null)
       select bag_id, batch, min(t) as first_t, max(t) as last_t, count(*) as n from n group by 1, 2""",
     "batch_windowed_nearest": f"""with {_FRAMES}, m as (select bag_id, id, t, frame//20 as batch from f where key='view'),

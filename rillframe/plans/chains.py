@@ -273,7 +273,7 @@ def stillness_trim(spark, d):
 @R.query(f"""with {_E}, a as (select bag_id, count(*) n, max(t) - min(t) us, case when max(t) > min(t) then count(*) / ((max(t) - min(t)) / 1e6::double) end rate from e group by 1),
   c as (select *, case when rate < {1 / 43_200} then 'insert' when rate > {1 / 36_000} then 'remove' else 'keep' end as action from a),
   g as (select bag_id, lead(t) over (partition by bag_id order by t) - t g from e), p as (select bag_id, sum(pow(2, j))::bigint as may from g, range(0, 30) x(j) where g / pow(2.0::double, j) > {HOUR} group by 1)
-  select bag_id, action, case action when 'keep' then n when 'insert' then n + greatest(0, least(cast(trunc(us / 1e6::double * {1 / 43_200}) as bigint) - n, coalesce(may, 0))) else greatest(least(n, 3), cast(trunc(us / 1e6::double * {1 / 43_200}) as bigint)) end as frames from c left join p using (bag_id)""")
+  select bag_id, action, case action when 'keep' then n when 'insert' then n + greatest(0, least(cast(trunc(us / 1e6::double * {1 / 43_200}) as bigint) - n, coalesce(may, 0))) else greatest(least(n, 2), cast(trunc(us / 1e6::double * {1 / 43_200}) as bigint)) end as frames from c left join p using (bag_id)""")
 def rate_adjust(spark, d):
     """Timelines brought between two rates, and how many frames they have then."""
     out = chains.adjust_rate(messages(spark, d).select("bag_id", "t"), ["bag_id"], "t", 1 / 43_200, 1 / 36_000, HOUR)
@@ -365,3 +365,14 @@ def frame_counters(spark, d):
     counted, seen = quality.counted(table(spark, d, "camera_frames"), {"frames": F.count(F.lit(1)), "stamped": F.count("timestamp_us")})
     bags = counted.select("bag_id").distinct().count()
     return spark.createDataFrame([(bags, seen.get["frames"], seen.get["stamped"])], "bags bigint, frames bigint, stamped bigint")
+
+
+_REMOVED = f"{_E}, a as (select bag_id, count(*) n, min(t) a, max(t) b, cast(trunc((max(t) - min(t)) / 1e6::double * {1 / 36_000}) as bigint) k from e group by 1)"
+
+
+@R.query(f"with {_REMOVED} select bag_id, greatest(least(n, 2), least(n, k)) as frames, a as first, b as last, true as rising from a")
+def frame_remove_ends(spark, d):
+    """What thinned timelines keep: the number asked for, both ends, the order."""
+    thin = timeline.remove_frames(messages(spark, d).select("bag_id", "t"), ["bag_id"], "t", 1 / 36_000)
+    back = F.coalesce(F.col("t") < F.lag("t").over(Window.partitionBy("bag_id").orderBy("t")), F.lit(False))
+    return thin.withColumn("back", back).groupBy("bag_id").agg(F.count("*").alias("frames"), F.min("t").alias("first"), F.max("t").alias("last"), (F.count_if("back") == 0).alias("rising"))
