@@ -227,7 +227,8 @@ _CLAW = "r as (select distinct bag_id, seq, timestamp_us t, data[1] a, data[2] b
 
 
 @R.query(f"""with {_CLAW}, s as (select bag_id, min(t) a0, max(t) b0 from r group by 1 having max(t) - min(t) >= 2000000), m as (select *, (b0 - a0 - 2000000) // 1000000 as m from s),
-  w as (select m.*, k, (select greatest(max(r.a) - min(r.a), max(r.b) - min(r.b)) from r where r.bag_id = m.bag_id and r.t - a0 >= k * 1000000 and r.t - a0 < k * 1000000 + 2000000) as d from m, lateral (select unnest(range(0, m.m + 1)) as k)),
+  x as (select m.*, r.a, r.b, unnest(range(greatest(0, (r.t - a0 - 2000000) // 1000000 + case when r.t - a0 >= 2000000 then 1 else 0 end), least((r.t - a0) // 1000000, m.m) + 1)) as k from m join r using (bag_id)),
+  w as (select bag_id, a0, b0, m, k, greatest(max(a) - min(a), max(b) - min(b)) as d from x group by 1, 2, 3, 4, 5),
   e as (select bag_id, a0, b0, m, min(k) filter (d > 30) as f, max(k) filter (d > 30) as l from w group by 1, 2, 3, 4)
   select bag_id, case when f is null then b0 - a0 when f > 0 then (f - 1) * 1000000 + 2000000 else 0 end as head, case when l is null then b0 - a0 when l < m then b0 - a0 - (l + 1) * 1000000 else 0 end as tail from e""")
 def static_head_tail(spark, d):
