@@ -1,5 +1,6 @@
 """DuckDB twins of the p queries that SQL can state."""
 
+from rillframe.functions.units import UNITS
 from rillframe.operators.instants import _LENGTHS, ABBREVIATIONS, MONTHS
 
 # p6: texts to candidate wall clocks (microseconds), offsets from the text or from the site's zone, and the choice nearest to the recording
@@ -55,6 +56,47 @@ _P6 = rf"""with cells as (select distinct mark_id, bag_id, field, {_tidy('raw')}
    case when regexp_matches(t, '^(?:(?:{_NUM}) ?[a-zµμ\p{{Han}}]+\.? ?)+$') then list_sum(list_transform(regexp_extract_all(t, '({_NUM}) ?[a-zµμ\p{{Han}}]+\.?', 1), lambda v, i: v::double * {_LENGTH_MAP}[regexp_extract_all(t, '(?:{_NUM}) ?([a-zµμ\p{{Han}}]+)\.?', 1)[i]])) end) us, 
    t from (select mark_id, regexp_replace(lower({_tidy('duration')}), '(\d),(\d)', '\1.\2', 'g') t from marks where duration is not null)) where us is not null"""
 
+# p2: a spelling without case and separators is a key of the names of units; a note is searched for whole names
+_ODD = r"[ .·*\-_/]"
+
+
+def _key(text: str) -> str:
+    return f"regexp_replace(lower({text}), '{_ODD}', '', 'g')"
+
+
+_UNIT_ROWS = ", ".join(f"('{q}', '{u}', {f!r}::double, '{n}')" for u, (q, f, names) in UNITS.items() for n in names)
+_NUMBER = r"^([+-]?(?:\d[\d.,]*\d|\d|[.,]\d+)(?:[eE][+-]?\d+)?)"
+_P2 = rf"""with names(quantity, unit, factor, name) as (values {_UNIT_ROWS}), keys as (select quantity, {_key('name')} as key, min(unit) as unit, min(factor) as factor from names group by 1, 2),
+ rows0 as (select reading_id, bag_id, unnest(['effort', 'current_value']) as field, unnest(['torque', 'current']) as quantity, unnest([effort, current_value]) as raw, unnest([effort_unit, current_unit]) as label from joint_states),
+ rows1 as (select reading_id, bag_id, field, quantity, {_tidy('raw')} as v, nullif({_tidy('label')}, '') as label from rows0 where raw is not null),
+ rows2 as (select *, lower(regexp_extract(v, '{_NUMBER}', 1)) as digits from rows1),
+ rows3 as (select *, split_part(digits, 'e', 1) as m, case when contains(digits, 'e') then 'e' || split_part(digits, 'e', 2) else '' end as ex, nullif(ltrim(v[length(digits) + 1:]), '') as rest from rows2 where digits <> ''),
+ rows4 as (select *, length(m) - length(replace(m, ',', '')) as c, length(m) - length(replace(m, '.', '')) as p from rows3),
+ rows5 as (select reading_id, bag_id, field, quantity, coalesce(label, rest) as spelling, try_cast(ltrim(case when c = 0 and p <= 1 then m when (c = 1 and p = 0) or (c > 0 and p > 0 and strpos(reverse(m), ',') < strpos(reverse(m), '.')) then replace(replace(m, '.', ''), ',', '.')
+   when p > 1 and c = 0 then replace(m, '.', '') else replace(m, ',', '') end, '+') || ex as double) as x from rows4),
+ r as (select * from rows5 where x is not null and not isnan(x) and abs(x) < 1e300),
+ hits as (select n.bag_id, k.quantity, k.unit, k.factor, length(k.name) as size, k.name from (select distinct bag_id, {_tidy('note')} as note from recordings where note is not null) n join names k
+   on case when regexp_matches(k.name, '^\p{{Han}}+$') then contains(n.note, k.name) when length(k.name) = 1 then regexp_matches(n.note, '[=\[] ?' || k.name || '([\];,. ]|$)')
+     else regexp_matches(lower(n.note), '(^|[^\p{{L}}\p{{N}}_])' || regexp_replace(regexp_escape(lower(k.name)), 'metres?$', 'metres?') || '($|[^\p{{L}}\p{{N}}_])') end),
+ noted as (select bag_id, quantity, arg_max(unit, (size, name)) as unit, arg_max(factor, (size, name)) as factor from hits group by 1, 2),
+ named as (select r.*, spelling is null as silent, case when spelling is null then d.unit else k.unit end as unit, case when spelling is null then d.factor else k.factor end as factor, spelling is null and d.unit is null as bare
+   from r left join keys k on k.quantity = r.quantity and k.key = {_key('r.spelling')} left join noted d on d.bag_id = r.bag_id and d.quantity = r.quantity),
+ usual as (select quantity, avg(ln(abs(x * factor))) as usual from named where not bare and x <> 0 and factor is not null group by 1),
+ level as (select bag_id, quantity, avg(ln(abs(x))) as level from named where bare and x <> 0 group by 1, 2),
+ p2 as (select distinct n.reading_id, n.field, n.x * case when bare then case when level - usual > ln(1000.0) / 2 then 0.001::double else 1.0::double end else factor end as value,
+   case when bare then case when level - usual > ln(1000.0) / 2 then case quantity when 'torque' then 'mN·m' else 'mA' end else case quantity when 'torque' then 'N·m' else 'A' end end else unit end as unit
+   from named n left join level l using (bag_id, quantity) left join usual u using (quantity))"""
+
+_P5 = """with c as (select bag_id, coalesce(train_hz,10) hz, coalesce(main_timeline_fps,30) fps from (select *, row_number() over (partition by bag_id order by revision desc) n from bag_config) where n=1),
+ g as (select r.bag_id, start_us, end_us, coalesce(fps,30)::bigint fps, (greatest(1, coalesce(fps,30)//coalesce(hz,10)) * 1000000)::bigint per from (select bag_id, max(start_us) start_us, max(end_us) end_us from recordings group by 1) r left join c using (bag_id)),
+ m as (select bag_id, topic, timestamp_us t, min(data) lo, max(data) hi from messages where timestamp_us is not null and len(data) > 0 and topic in ('/force6d_left_hand_force_torque','/force6d_right_hand_force_torque','/leju_claw_state','/gripper/state') group by 1, 2, 3),
+ n as (select m.*, ((t - start_us) * fps) // per as k from m join g using (bag_id) where t >= start_us and t < end_us),
+ a as (select s.bag_id, s.topic, slot, start_us - (-slot * per) // fps - case when (slot * per) % fps <> 0 then -1 else 0 end as at0 from (select distinct bag_id, topic from m) s join g using (bag_id), lateral (select unnest(range(0, (((end_us - start_us) * fps) // per)::bigint)) as slot)),
+ x as (select a.*, n.t t1, n.lo v1, n.k k1 from a asof left join n on a.bag_id = n.bag_id and a.topic = n.topic and a.at0 <= n.t),
+ y as (select x.*, n.t t0, n.hi v0 from x asof left join n on x.bag_id = n.bag_id and x.topic = n.topic and x.at0 > n.t),
+ z as (select bag_id, topic, slot, at0 as "at", case when at0 = t1 then v1 when t1 - t0 <= 500000 and len(v0) = len(v1) then list_transform(range(1, len(v0) + 1), lambda i: v0[i] + (v1[i] - v0[i]) * ((at0 - t0) / (t1 - t0))) end as value, coalesce(k1 = slot, false) as seen from y)
+ select bag_id, topic, slot, "at", value, case when seen then 'observed' when value is not null then 'filled' else 'missing' end as status from z"""
+
 ORACLES = {
     "p1_found": """with s as (select distinct bag_id, cast(round(step_start*1000000) as bigint) s, cast(round(step_end*1000000) as bigint) e from steps where step_end>step_start),
  m as (select *, max(e) over (partition by bag_id order by s,e rows between unbounded preceding and 1 preceding) r from s),
@@ -74,4 +116,7 @@ ORACLES = {
  a as (select s.bag_id, s.topic, unnest(range(0, cast(((end_us-start_us)*fps)//(j*1000000) as bigint))) as slot from s join g using(bag_id))
  select a.bag_id,a.topic,a.slot from a anti join (select bag_id,topic,cast(floor((t-start_us)*fps/(j*1000000.0)) as bigint) slot from m join g using (bag_id)) o on a.bag_id=o.bag_id and a.topic=o.topic and a.slot=o.slot""",
     "p6_found": _P6,
+    "p2_values": f"{_P2} select reading_id, field, value, unit from p2",
+    "p2_found": f"{_P2} select distinct reading_id, field, cast(round(value * 1000) as bigint) as value_milli from p2 where value is not null and unit not in ('N·m', 'A')",
+    "p5_series": _P5,
 }
