@@ -49,6 +49,16 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return p3_flags(spark, d).select("bag_id", "topic", "seq")
 
 
+def p3_outside(spark: SparkSession, d: str) -> DataFrame:
+    """Readings whose time is not in their recording."""
+    return p3_flags(spark, d).where("outside").select("bag_id", "topic", "seq")
+
+
+def p3_stuck(spark: SparkSession, d: str) -> DataFrame:
+    """Readings in runs of at least twenty equal values of a component that otherwise changes."""
+    return p3_flags(spark, d).where("stuck").select("bag_id", "topic", "seq")
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     frames = table(spark, d, "camera_frames")
     force = table(spark, d, "messages").where((F.col("topic") == SENSOR_TOPICS[0]) & (F.size("data") > 0))
@@ -102,4 +112,4 @@ def p7_table(spark: SparkSession, d: str) -> DataFrame:
     return consistent_table(table(spark, d, "sidecar_files"), *_SIDECAR)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_values, p3_found, p3_flags, p4_found, p5_found, p5_series, p6_found, p7_found, p7_cells, p7_table)}
+QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_values, p3_found, p3_flags, p3_outside, p3_stuck, p4_found, p5_found, p5_series, p6_found, p7_found, p7_cells, p7_table)}

@@ -119,4 +119,11 @@ ORACLES = {
     "p2_values": f"{_P2} select reading_id, field, value, unit from p2",
     "p2_found": f"{_P2} select distinct reading_id, field, cast(round(value * 1000) as bigint) as value_milli from p2 where value is not null and unit not in ('N·m', 'A')",
     "p5_series": _P5,
+    "p3_outside": """select distinct m.bag_id, topic, seq from messages m join (select bag_id, min(start_us) a, max(end_us) b from recordings group by 1) r using (bag_id)
+ where topic is not null and seq is not null and len(data) > 0 and (timestamp_us < a or timestamp_us >= b)""",
+    "p3_stuck": """with m as (select bag_id, topic, seq, min(device_sn) as source, min(data) as data from messages where bag_id is not null and topic is not null and seq is not null and timestamp_us is not null and len(data) > 0 group by 1, 2, 3),
+ c as (select bag_id, topic, source, seq, unnest(range(1, len(data) + 1)) as i, unnest(data) as x from m), l as (select *, lag(x) over (partition by bag_id, topic, i order by seq) as before from c),
+ s as (select source, topic, i, avg((x = before)::int) as repeats from l where isfinite(x) and isfinite(before) group by 1, 2, 3),
+ r as (select *, sum(case when x = before then 0 else 1 end) over (partition by bag_id, topic, i order by seq) as run from l), n as (select *, count(*) over (partition by bag_id, topic, i, run) as size from r where x is not null)
+ select distinct bag_id, topic, seq from n join s using (source, topic, i) where size >= 20 and repeats < 0.5 and isfinite(x) and topic not in ('/leju_claw_command', '/cmd_pose_world_synced')""",
 }
