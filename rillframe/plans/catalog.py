@@ -123,8 +123,7 @@ def fraction_range(spark, d):
 @query
 def interval_stats(spark, d):
     s = quality.interval_stats(messages(spark, d), ["bag_id", "key"], "t")
-    mean_us = F.floor(F.col("mean_ms") * 1000 + 0.01).alias("mean_us")  # a mean of whole numbers, cut
-    return s.select("bag_id", "key", "n", "n_distinct", *[F.round(c, 3).alias(c) for c in ("min_ms", "max_ms")], mean_us, F.round("std_ms", 2).alias("std_ms"))
+    return s.select("bag_id", "key", "n", "n_distinct", *[F.round(c, 3).alias(c) for c in ("min_ms", "max_ms")], "mean_ms", F.round("std_ms", 2).alias("std_ms"))
 
 
 @query

@@ -49,7 +49,7 @@ ORACLES = {
     "fraction_range": f"""with {_E}, b as (select bag_id, min(t) a, max(t) z from e group by 1)
       select bag_id, id from e join b using(bag_id) where t between a+cast(trunc((z-a)*0.25::double) as bigint) and a+cast(trunc((z-a)*0.75::double) as bigint)""",
     "interval_stats": f"""with {_E}, s as (select bag_id, key, t, (t-lag(t) over (partition by bag_id,key order by t))/1000.0::double d from e)
-      select bag_id, key, count(t) n, count(distinct t) n_distinct, round(min(d),3) min_ms, round(max(d),3) max_ms, cast(floor(avg(d)*1000+0.01) as bigint) mean_us, round(stddev_pop(d),2) std_ms from s group by 1,2""",
+      select bag_id, key, count(t) n, count(distinct t) n_distinct, round(min(d),3) min_ms, round(max(d),3) max_ms, (max(t)-min(t))/nullif(count(t)-1,0)/1000.0::double as mean_ms, round(stddev_pop(d),2) std_ms from s group by 1,2""",
     "camera_timeline_checks": """with f as (select distinct bag_id, camera, frame_no, timestamp_us t from camera_frames where timestamp_us is not null),
       s as (select *, (t-lag(t) over (partition by bag_id,camera order by t))/1000.0::double d from f),
       a as (select bag_id, camera, count(t) n, count(distinct t) nd, min(d) mn, max(d) mx, stddev_pop(d) sd, case when max(t)>min(t) then count(*)/((max(t)-min(t))/1e6::double) end rate from s group by 1,2),

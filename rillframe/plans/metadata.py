@@ -11,10 +11,12 @@ from rillframe.functions.kinematics import end_pose
 from rillframe.operators import annotations, clean, episodes, stats, timeline
 from rillframe.operators import metadata as M
 from rillframe.operators.grid import latest_revision
-from rillframe.plans.catalog import HOUR, _customers, messages, vectors
+from rillframe.plans.catalog import HOUR, messages, vectors
 from rillframe.plans.catalog_sql import _CUST, _E, _FRAMES, _VEC
 from rillframe.plans.registry import Registry
 from rillframe.session import checkpoint_dir, epoch_us, table
+from rillframe.sources.datasets import bag_headers as bag_headers_of
+from rillframe.sources.datasets import recordings_in
 from rillframe.streaming.batches import for_each_batch, live_messages, open_stream, windowed_rate
 
 R = Registry()
@@ -39,6 +41,28 @@ def quarantine(spark, d):
     return M.quarantine(table(spark, d, "sidecar_files").select("file_id", "body").distinct(), "body")[1].select("file_id", "reason")
 
 
+@R.query("""with m as (select bag_id, min(timestamp_us) a, max(timestamp_us) b from messages where bag_id is not null group by 1)
+  select bag_id, a as start, b as "end", (b - a) / 1e6::double as seconds, strftime(make_timestamp(a + 28800000000), '%Y-%m-%dT%H:%M:%S') || '+08:00' as started from m""")
+def bag_headers(spark, d):
+    """First and last time of every recording, its length, and its start as text at UTC+8."""
+    return bag_headers_of(table(spark, d, "messages").where("bag_id is not null"), "bag_id", "timestamp_us")
+
+
+_LISTED = "p as (select distinct '/bags/' || device_sn || '/' || bag_id || case when n_bytes % 5 = 0 then '.c.bag' else '.bag' end as path from recordings where bag_id is not null and device_sn is not null union select distinct '/bags/' || bag_id || '.bag' from recordings where bag_id is not null and n_bytes % 3 = 0)"
+
+
+@R.query(f"""with {_LISTED}, b as (select path, regexp_extract(path, '([^/]+)\\.bag$', 1) as name, len(string_split(path, '/')) as deep from p where path not like '%.c.bag'),
+  n as (select *, row_number() over (partition by name order by deep, path) as n from b) select path, case when n = 1 then name else name || '_' || n end as dataset, 0.0::double as start, 1.0::double as "end" from n""")
+def bag_discovery(spark, d):
+    """Recordings in a folder and one level below, with unique names; compressed ones are passed over."""
+    r = table(spark, d, "recordings").where("bag_id is not null")
+    end = F.when(F.col("n_bytes") % 5 == 0, ".c.bag").otherwise(".bag")
+    below = r.where("device_sn is not null").select(F.concat(F.lit("/bags/"), "device_sn", F.lit("/"), "bag_id", end).alias("path"))
+    here = r.where("n_bytes % 3 = 0").select(F.concat(F.lit("/bags/"), "bag_id", F.lit(".bag")).alias("path"))
+    deep = r.select(F.concat(F.lit("/bags/a/b/"), "bag_id", F.lit(".bag")).alias("path"))
+    return recordings_in(below.unionByName(here).unionByName(deep).distinct(), "/bags")
+
+
 _NEW = "starts_with(coalesce(json_extract_string(body, '$.marks'), ''), '[')"
 # lists may also be written as text
 _LIST = "case when json_valid({0}) and starts_with({0}, '[') then {0}::json end"

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +21,7 @@ def get_session(app: str = "rillframe", cpus: int | str = "*", **conf: str) -> S
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.host", "127.0.0.1")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in conf.items():
         builder = builder.config(k.replace("__", "."), v)
@@ -27,6 +30,11 @@ def get_session(app: str = "rillframe", cpus: int | str = "*", **conf: str) -> S
     return spark
 
 
+def task_slots(spark: SparkSession, asked: int | None = None) -> int:
+    """How many tasks run at once: what is asked for, at most what the session has."""
+    return max(1, min(asked or 1 << 30, spark.sparkContext.defaultParallelism))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -41,6 +49,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     path = getattr(checkpoint_dir, "_path", None)
     if path is None or not os.path.isdir(path):
         path = checkpoint_dir._path = tempfile.mkdtemp(prefix="rillframe-")
+        atexit.register(shutil.rmtree, path, ignore_errors=True)
     return path
 
 

@@ -107,7 +107,7 @@ def test_dataset_round_trip(spark, tmp_path):
     write_episodes(frames, str(tmp_path / "x"), chunk_size=2)
     back = read_episodes(spark, str(tmp_path / "x"), [1])
     assert back.count() == 33 and {r.chunk for r in back.select("chunk").distinct().collect()} == {0}
-    assert tuple(dataset_info(frames, 30.0, chunk_size=2).first()) == (3, 100, 2, 30.0, "0:3")
+    assert tuple(dataset_info(frames, 30.0, chunk_size=2).first())[:5] == (3, 100, 2, 30.0, "0:3")
 
 
 def test_discovery(spark):
