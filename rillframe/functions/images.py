@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 import numpy as np
-
-
-def rotate_180(frame: np.ndarray) -> np.ndarray:
-    return frame[::-1, ::-1]
+import pandas as pd
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 
 def clip_depth(depth: np.ndarray, low: float, high: float) -> np.ndarray:
@@ -56,6 +55,34 @@ def denoise_depth(depth: np.ndarray, bright: int = 10_000, most: int = 1_000, ri
     return out.astype(depth.dtype)
 
 
+def denoise_frames(height: int, width: int, bright: int = 10_000, most: int = 1_000, ring: int = 3):
+    """A pandas UDF of :func:`denoise_depth` for depth frames held as arrays, row by row; null for another size."""
+
+    @F.pandas_udf("array<bigint>")
+    def run(frames: pd.Series) -> pd.Series:
+        fit = [f is not None and len(f) == height * width for f in frames]
+        return pd.Series([denoise_depth(np.asarray(f, np.int64).reshape(height, width), bright, most, ring).ravel() if ok else None for f, ok in zip(frames, fit)])
+
+    return run
+
+
+def rotate_180(pixels: Column, channels: int = 1) -> Column:
+    """A frame held as an array, channels innermost, turned by half a turn."""
+    if channels == 1:
+        return F.reverse(pixels)
+    n = F.call_function("div", F.size(pixels), F.lit(channels))
+    return F.flatten(F.transform(F.sequence(n - 1, F.lit(0).cast("bigint"), F.lit(-1).cast("bigint")), lambda i: F.slice(pixels, (i * channels + 1).cast("int"), F.lit(channels))))
+
+
+def resize(pixels: Column, size: tuple[int, int], new: tuple[int, int], channels: int = 1) -> Column:
+    """A frame held as an array of (height, width) in another size, every pixel taken from the place it falls on."""
+    (h, w), (nh, nw) = size, new
+    i = lambda k: F.call_function("div", k, F.lit(channels))
+    row = lambda k: F.call_function("div", F.call_function("div", i(k), F.lit(nw)) * h, F.lit(nh))
+    col = lambda k: F.call_function("div", (i(k) % nw) * w, F.lit(nw))
+    return F.transform(F.sequence(F.lit(0), F.lit(nh * nw * channels - 1)), lambda k: F.get(pixels, ((row(k) * w + col(k)) * channels + k % channels).cast("int")))
+
+
 def still_prefix(moved: np.ndarray, threshold: float, ratio: float, shortest: int) -> int:
     """Longest prefix of frame differences, from ``shortest`` on, of which at least ``ratio`` are at most the threshold; 0 if none."""
     calm = np.cumsum(np.asarray(moved) <= threshold)

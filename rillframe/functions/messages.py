@@ -174,3 +174,16 @@ def joint_names(side: str, effector: str, fingers: int = 6, body: bool = False)
     arms = [f"{s}_{n}" for s in sides for n in [*(f"arm_joint_{i + 1}" for i in range(7)), *tails]]
     legs = [f"{s}_leg_joint_{i + 1}" for s in ("left", "right") for i in range(6)]
     return [*legs, *arms, "head_joint_1", "head_joint_2"] if body else arms
+
+
+def frame_violations(frames: DataFrame, row_id: str, wanted: dict[str, int | None]) -> DataFrame:
+    """(row_id, feature, reason) of features that a frame lacks: ``absent`` from the table, ``missing`` (null), or of another ``width`` than given (null: any)."""
+    bad = []
+    for name, width in wanted.items():
+        if name not in frames.columns:
+            reason = F.lit("absent")
+        else:
+            off = F.size(name) != width if width is not None else F.lit(False)
+            reason = F.when(F.col(name).isNull(), "missing").when(off, "width")
+        bad.append(F.when(reason.isNotNull(), F.struct(F.lit(name).alias("feature"), reason.alias("reason"))))
+    return frames.select(row_id, F.explode(F.filter(F.array(*bad), lambda x: x.isNotNull())).alias("b")).select(row_id, "b.*")

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from rillframe.session import broadcast_if_small, floor_div
 
-MARGIN = 128  # sequence numbers of context on either side of a chunk
+MARGIN = 1024  # sequence numbers of context on either side of a chunk
 RUN = 20  # successive equal values that make a stuck run
 LONGEST = 3  # readings of the longest spike
 _PER_OCTAVE, _LOW, _BINS = 8, -24, 8 * 64  # histograms of log2 |x| from 2**-24 to 2**40
@@ -356,7 +356,7 @@ def _tests(limits: dict[str, tuple[float, float]], may_hold: list[str], far: flo
 def implausible_readings(
     messages: DataFrame, windows: DataFrame, entity: str, source: str, topic: str, seq: str, time: str, value: str,
     limits: dict[str, tuple[float, float]] | None = None, may_hold: list[str] | None = None,
-    far: float = 7.5, beyond: float = 40.0, chunk: int = 4096, max_broadcast_rows: int = 500_000,
+    far: float = 7.5, beyond: float = 40.0, chunk: int = 32_768, max_broadcast_rows: int = 500_000,
 ) -> DataFrame:
     """Readings that are outside their recording, impossible, part of a spike, or stuck.
 
@@ -374,6 +374,9 @@ def implausible_readings(
     * stuck: at least 20 successive equal values of a component that otherwise changes from reading to
       reading (not for the topics in ``may_hold``).
 
+    A series is cut every ``chunk`` sequence numbers, with ``MARGIN`` numbers of context on either side: an
+    excursion or run right at a cut is seen whole unless nearly that many messages in a row are lost there.
+
     Readings with null times, null or empty values, or a null entity, topic or number are none; a
     null source is a source of its own; repeated rows (same entity, topic and number) count once;
     components may differ in number; empty tables give an empty result; other columns are ignored.

@@ -14,13 +14,14 @@ from pyspark.sql import types as T
 from rillframe.functions.units import BASE, UNITS, spelling_distance
 from rillframe.session import broadcast_if_small, cut_lineage
 
-_ODD_SPACE = "[\\u00a0\\u2007\\u2009\\u202f\\s]+"
+_ODD_SPACES = "\u00a0\u2007\u2009\u202f\t\n\x0b\f\r"
 _NUMBER = r"^([+-]?(?:\d[\d.,]*\d|\d|[.,]\d+)(?:[eE][+-]?\d+)?)"
 
 
 def tidy(text: Column) -> Column:
     """One plain space for each run of white space, none at the ends; a plain minus sign."""
-    return F.trim(F.regexp_replace(F.translate(text, "−", "-"), _ODD_SPACE, " "))
+    plain = F.trim(F.translate(text, "−" + _ODD_SPACES, "-" + " " * len(_ODD_SPACES)))
+    return F.when(plain.contains("  "), F.regexp_replace(plain, "  +", " ")).otherwise(plain)
 
 
 def _let(value: Column, f) -> Column:

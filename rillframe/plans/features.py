@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rillframe.functions import images as I
 from rillframe.functions import messages as M
 from rillframe.functions import vectors as V
 from rillframe.operators import stats
@@ -236,7 +237,38 @@ def _pixels(spark, d) -> DataFrame:
 @R.query(f"with {_PIX} select vec_id, 63 - i as pos, x::double as x from p")
 def rotate_180(spark, d):
     """Frames of one channel turned by half a turn."""
-    return _long(_pixels(spark, d).withColumn("v", F.reverse("pixels")), "v")
+    return _long(_pixels(spark, d).withColumn("v", I.rotate_180(F.col("pixels"))), "v")
+
+
+@R.query(f"with {_PIX} select vec_id, (15 - i // 4) * 4 + i % 4 as pos, x::double as x from p")
+def rotate_180_channels(spark, d):
+    """Frames of four channels turned by half a turn."""
+    return _long(_pixels(spark, d).withColumn("v", I.rotate_180(F.col("pixels"), 4)), "v")
+
+
+@R.query(f"with {_PIX}, k as (select i as pos, (i // 2 // 6) * 4 // 3 as r, (i // 2 % 6) * 8 // 6 as c, i % 2 as ch from range(36) r(i)) select vec_id, k.pos, x::double as x from k join p on p.i = (r * 8 + c) * 2 + ch")
+def image_resize(spark, d):
+    """Frames of 4 x 8 pixels and two channels as 3 x 6 pixels."""
+    return _long(_pixels(spark, d).withColumn("v", I.resize(F.col("pixels"), (4, 8), (3, 6), 2)), "v")
+
+
+_HOT = f"{_PIX}, h as (select vec_id, i, i // 8 as r, i % 8 as c, case when i = vec_id % 64 then 20000 else x + 400 end as x from p)"
+
+
+@R.query(f"""with {_HOT}, q as (select a.vec_id, trunc(avg(b.x))::bigint as m from h a join h b on a.vec_id = b.vec_id and abs(a.r - b.r) <= 3 and abs(a.c - b.c) <= 3 and b.x < 10000 where a.x >= 10000 group by 1)
+  select vec_id, i as pos, (case when x >= 10000 then m else x end)::double as x from h join q using (vec_id)""")
+def depth_denoise(spark, d):
+    """Depth frames with a hot pixel, which takes the mean around it."""
+    hot = F.transform("pixels", lambda x, i: F.when(i == F.col("vec_id") % 64, F.lit(20_000).cast("bigint")).otherwise(x + 400))
+    return _long(_pixels(spark, d).withColumn("f", hot).withColumn("v", I.denoise_frames(8, 8)("f")), "v")
+
+
+@R.query("""select vec_id, 'embedding' as feature, case when vec_id % 7 = 0 then 'missing' else 'width' end as reason from embeddings where vec_id % 7 = 0 or vec_id % 5 = 0
+  union all select vec_id, 'state', 'absent' from embeddings""")
+def frame_violations(spark, d):
+    """Frames whose features are absent, null or of another width than given."""
+    e = table(spark, d, "embeddings").withColumn("embedding", F.when(F.col("vec_id") % 7 == 0, None).when(F.col("vec_id") % 5 == 0, F.slice("embedding", 1, 63)).otherwise(F.col("embedding")))
+    return M.frame_violations(e, "vec_id", {"embedding": 64, "label": None, "state": 28})
 
 
 _SAMPLE = """r as (select vec_id, cast(label as bigint) as label, row_number() over (partition by label order by vec_id) - 1 as k, count(*) over (partition by label) as n from embeddings),
