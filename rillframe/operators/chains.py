@@ -58,8 +58,7 @@ def main_timeline(df: DataFrame, entity: list[str], key: str, time: str, order:
     other = timeline.main_key(df, entity, key, priority).withColumnRenamed(key, "_main")
     chosen = df.join(has, entity, "left").join(other, entity, "left").where(F.col(key) == F.when(F.col("_has"), F.lit(wanted)).otherwise(F.col("_main"))).select(*entity, key, time, order)
     kept = timeline.drop_and_stride(preprocess(chosen, [*entity, key], time, order, limit), entity, [time], drop, stride)
-    frame = (F.row_number().over(Window.partitionBy(*entity).orderBy(time)) - 1).cast("bigint")
-    return kept.select(*entity, key, F.col(time).alias("t"), frame.alias("frame"))
+    return clean.placed(kept.select(*entity, key, F.col(time).alias("t")), entity, ["t"], "frame")
 
 
 def align(main: DataFrame, df: DataFrame, entity: list[str], key: str, time: str, order: str, limit: int, slice_width: int | None = clean.SLICE) -> DataFrame:
@@ -111,9 +110,8 @@ def complete_frames(frames: DataFrame, required: list[str], either: list[list[st
 
 def positional_join(a: DataFrame, b: DataFrame, keys: list[str], order: str, columns: list[str]) -> DataFrame:
     """Rows of ``a`` with the ``columns`` of the row of ``b`` in the same place of its key, null beyond its end."""
-    n = (F.row_number().over(Window.partitionBy(*keys).orderBy(order)) - 1).cast("bigint")
-    right = b.select(*keys, n.alias("place"), *columns)
-    return a.withColumn("place", n).join(right, [*keys, "place"], "left")
+    right = clean.placed(b, keys, [order], "place").select(*keys, "place", *columns)
+    return clean.placed(a, keys, [order], "place").join(right, [*keys, "place"], "left")
 
 
 def two_stage_nearest(main: DataFrame, other: DataFrame, keys: list[str], time: str, order: str, chunk: str, pad: int) -> DataFrame:
@@ -135,7 +133,7 @@ def trim_frames(df: DataFrame, keys: list[str], order: list[str], head: Column |
     """Rows without the first ``head`` and the last ``tail`` of each key (columns: a number per key)."""
     lit = lambda x: x if isinstance(x, Column) else F.lit(x)
     size = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    rows = df.withColumn("_i", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1).join(size, keys)
+    rows = clean.placed(df, keys, order, "_i").join(size, keys)
     return rows.where((F.col("_i") >= lit(head)) & (F.col("_i") < F.col("_n") - lit(tail))).drop("_i", "_n")
 
 
@@ -168,13 +166,13 @@ def still_time(diffs: DataFrame, keys: list[str], time: str, diff: str, threshol
     Windows from the start grow by ``step`` from ``shortest`` on, as long as at least ``ratio`` of their
     differences are at most ``threshold``; those longer than the stream are not tried.
     """
-    w = Window.partitionBy(*keys)
-    rows = diffs.select(*keys, (F.col(time) - F.min(time).over(w)).alias("_t"), (F.col(diff) <= threshold).cast("int").alias("_c"))
+    span = diffs.groupBy(*keys).agg(F.min(time).alias("_a"), (F.max(time) - F.min(time)).alias("_end"))
+    rows = diffs.join(span, keys).select(*keys, "_end", (F.col(time) - F.col("_a")).alias("_t"), (F.col(diff) <= threshold).cast("int").alias("_c"))
     # the first window that holds a difference; 0 is the shortest
     bin_ = F.greatest(F.lit(0).cast("bigint"), F.call_function("div", F.col("_t") - shortest + step - 1, F.lit(step).cast("bigint")))
-    per = rows.groupBy(*keys, bin_.alias("_k")).agg(F.sum("_c").alias("_c"), F.count("*").alias("_n"), F.max("_t").alias("_t"))
+    per = rows.groupBy(*keys, "_end", bin_.alias("_k")).agg(F.sum("_c").alias("_c"), F.count("*").alias("_n"))  # a row per step of time
     run = Window.partitionBy(*keys).orderBy("_k").rowsBetween(Window.unboundedPreceding, 0)
-    share = per.select(*keys, "_k", (F.sum("_c").over(run) / F.sum("_n").over(run)).alias("_r"), F.lead("_k").over(Window.partitionBy(*keys).orderBy("_k")).alias("_next"), F.max("_t").over(w).alias("_end"))
+    share = per.select(*keys, "_k", "_end", (F.sum("_c").over(run) / F.sum("_n").over(run)).alias("_r"))
     most = F.call_function("div", F.col("_end") - shortest, F.lit(step).cast("bigint"))
     good = share.groupBy(*keys, "_end").agg(F.min(F.when(F.col("_r") < ratio, F.col("_k"))).alias("_bad"))
     still = F.when(F.col("_end") < shortest, 0).when(F.col("_bad").isNull() | (F.col("_bad") > most), shortest + most * step).when(F.col("_bad") > 0, shortest + (F.col("_bad") - 1) * step).otherwise(0)
@@ -202,8 +200,7 @@ def downsample(df: DataFrame, keys: list[str], order: list[str], target: Column)
     size = df.groupBy(*keys).agg(F.count("*").alias("_n")).withColumn("_k", F.least(F.greatest(target.cast("bigint"), F.lit(1).cast("bigint")), F.col("_n")))
     spots = size.withColumn("_j", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_k") - 1)))
     at = F.when(F.col("_k") == 1, F.lit(0).cast("bigint")).otherwise(F.call_function("div", F.col("_j") * (F.col("_n") - 1), F.col("_k") - 1))
-    place = (F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1).cast("bigint")
-    return df.withColumn("_i", place).join(spots.select(*keys, at.alias("_i")).distinct(), [*keys, "_i"]).drop("_i")
+    return clean.placed(df, keys, order, "_i").join(spots.select(*keys, at.alias("_i")).distinct(), [*keys, "_i"]).drop("_i")
 
 
 def validate_strict(frames: DataFrame, keys: list[str], time: str, spread: str, least_frames: int = 300, least_us: int = 10_000_000, low_fps: float = 29.905, high_fps: float = 30.095, max_ms: float = 40.0, max_spread: int = 20_000) -> DataFrame:

@@ -23,14 +23,35 @@ def with_next(df: DataFrame, keys: list[str], time: str, name: str, slice_width:
     A key's rows are put in order in slices of time, so that one with most of the rows is spread over many
     tasks; the last row of a slice takes the first time of the next slice that has any, from one row a slice.
     """
-    slice_of = floor_div(F.col(time).cast("bigint"), F.lit(slice_width).cast("bigint"))
-    rows = df.withColumn("_slice", slice_of)
-    inner = F.lead(time).over(Window.partitionBy(*keys, "_slice").orderBy(time))
-    heads = rows.where("_slice is not null").groupBy(*keys, "_slice").agg(F.min(time).alias("_head"))
-    heads = heads.select(*keys, "_slice", F.lead("_head").over(Window.partitionBy(*keys).orderBy("_slice")).alias("_after"))
-    same = [F.col(f"r.{k}").eqNullSafe(F.col(f"h.{k}")) for k in keys] + [F.col("r._slice") == F.col("h._slice")]
-    joined = rows.withColumn("_inner", F.when(F.col(time).isNotNull(), inner)).alias("r").join(heads.alias("h"), same, "left")
-    return joined.select(*[F.col(f"r.{c}") for c in df.columns], F.coalesce("r._inner", "h._after").alias(name))
+    rows = _sliced(df, keys, time, slice_width)
+    inner = F.lead(time).over(Window.partitionBy("_k", "_slice").orderBy(time))
+    heads = rows.where(F.col(time).isNotNull()).groupBy("_k", "_slice").agg(F.min(time).alias("_head"))
+    heads = heads.select("_k", "_slice", F.lead("_head").over(Window.partitionBy("_k").orderBy("_slice")).alias("_after"))
+    joined = rows.withColumn("_inner", inner).join(heads, ["_k", "_slice"], "left")
+    return joined.select(*df.columns, F.coalesce("_inner", "_after").alias(name))
+
+
+def _sliced(df: DataFrame, keys: list[str], by: str, width: int) -> DataFrame:
+    """Adds the keys as one struct, equal also where they are null, and the slice of a whole number, the first one for nulls."""
+    cut = floor_div(F.col(by).cast("bigint"), F.lit(width).cast("bigint"))
+    return df.withColumns({"_k": F.struct(F.lit(0).alias("_"), *keys), "_slice": F.coalesce(cut, F.lit(-(1 << 62)).cast("bigint"))})
+
+
+def placed(df: DataFrame, keys: list[str], order: list[str], name: str, slice_width: int = SLICE) -> DataFrame:
+    """Adds the place of each row among those of its keys, from 0, in the order of ``order``; nulls come first.
+
+    Where the first column of the order is a whole number (a time) it is cut into slices, which are put in
+    order apart and numbered on by the number of rows of the slices before, from one row a slice.
+    """
+    whole = df.schema[order[0]].dataType.typeName() in ("long", "integer")
+    if not whole:
+        return df.withColumn(name, (F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1).cast("bigint"))
+    rows = _sliced(df, keys, order[0], slice_width)
+    counts = rows.groupBy("_k", "_slice").agg(F.count("*").alias("_c"))
+    before = F.sum("_c").over(Window.partitionBy("_k").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1))
+    counts = counts.select("_k", "_slice", F.coalesce(before, F.lit(0)).alias("_before"))
+    inner = F.row_number().over(Window.partitionBy("_k", "_slice").orderBy(*order)) - 1
+    return rows.withColumn("_inner", inner).join(counts, ["_k", "_slice"]).select(*df.columns, (F.col("_inner") + F.col("_before")).cast("bigint").alias(name))
 
 
 def gaps(df: DataFrame, keys: list[str], time: str, limit: int, slice_width: int = SLICE) -> DataFrame:

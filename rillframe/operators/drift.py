@@ -448,7 +448,9 @@ def migration_steps(files: DataFrame, exporter: str, at: str, file_id: str, body
     least = seen.select("leaf", F.explode("features").alias("h")).distinct()
     least = least.withColumn("r", F.row_number().over(Window.partitionBy("leaf").orderBy("h"))).where(F.col("r") <= _FEATURES)
     sketches = least.groupBy("leaf").agg(F.collect_list("h").alias("features")).join(ranges, "leaf", "full")
-    mine = seen.drop("features", "low", "high", "whole").join(sketches, "leaf", "left").select(*runs.columns)
+    once = seen.groupBy("exporter", "path", "leaf").agg(F.min("seg").alias("seg"))  # one a field, however many stretches it is in
+    blank = {c: F.lit(None).cast(runs.schema[c].dataType) for c in ("i0", "i1", "file_id", "at", "n")}
+    mine = once.withColumns({"kind": F.lit("profile"), "val": F.lit(""), **blank}).join(sketches, "leaf", "left").select(*runs.columns)
     runs = runs.where("kind <> 'profile'").unionByName(mine)
 
     return runs.repartition("exporter").sortWithinPartitions("exporter").mapInArrow(_walks, _STEPS)

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rillframe.operators.clean import placed
 from rillframe.session import cut_lineage
 
 
 def number_frames(df: DataFrame, episode: str, order: list[str], fps: float | None = None) -> DataFrame:
     """Adds frame_index, the global index (episodes in order) and, with ``fps``, timestamp = frame_index / fps."""
-    frame = (F.row_number().over(Window.partitionBy(episode).orderBy(*order)) - 1).cast("bigint")
     offsets = episode_offsets(df, episode).select(episode, "from_index")
-    out = df.withColumn("frame_index", frame).join(offsets, episode).withColumn("index", F.col("from_index") + F.col("frame_index")).drop("from_index")
+    out = placed(df, [episode], order, "frame_index").join(offsets, episode).withColumn("index", F.col("from_index") + F.col("frame_index")).drop("from_index")
     return out.withColumn("timestamp", (F.col("frame_index") / fps).cast("float")) if fps else out
 
 

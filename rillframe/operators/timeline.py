@@ -7,14 +7,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillframe.operators.clean import with_next
+from rillframe.operators.clean import placed, with_next
 
 
 def drop_and_stride(df: DataFrame, keys: list[str], order: list[str], drop: int, stride: int) -> DataFrame:
     """Rows without the first and last ``drop`` of each key, every ``stride``-th of the rest."""
-    w = Window.partitionBy(*keys).orderBy(*order)
     size = df.groupBy(*keys).agg(F.count("*").alias("_size"))
-    rn = df.withColumn("_i", F.row_number().over(w) - 1).join(size, keys)
+    rn = placed(df, keys, order, "_i").join(size, keys)
     return rn.where((F.col("_i") >= drop) & (F.col("_i") < F.col("_size") - drop) & ((F.col("_i") - drop) % stride == 0)).drop("_i", "_size")
 
 

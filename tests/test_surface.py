@@ -137,3 +137,14 @@ def test_small_things(spark):
     s = spark.createDataFrame([("a", 0, 1.0, 2.0, 1.5, 0.1, 3), ("a", 2, 3.0, 2.0, 9.0, -1.0, 0), ("b", 0, None, 2.0, 1.5, 0.1, 3)], "k string, pos int, min double, max double, mean double, std double, n long")
     assert {(r.k, r.reason) for r in stats.stats_violations(s, ["k"]).collect()} == {("a", x) for x in ("order", "mean", "spread", "count", "shape")} | {("b", "missing")}
     assert sources.list_files(spark, "/root/testdata/sf0.001", "nation*").count() == 1
+
+
+@pytest.mark.parametrize("width", [3, 40, 100_000])
+def test_places_over_slices(spark, width):
+    rng = np.random.default_rng(4)
+    rows = [(["a", "b", None][k], int(t), i) for i, (k, t) in enumerate(zip(rng.integers(3, size=200), rng.integers(-50, 150, 200)))] + [("a", None, 900)]
+    df = spark.createDataFrame(rows, "k string, t long, id long")
+    got = {r.id: r.n for r in clean.placed(df, ["k"], ["t", "id"], "n", width).collect()}
+    order = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[2]))
+    assert got == {r[2]: n for k in ("a", "b", None) for n, r in enumerate(x for x in order if x[0] == k)}
+    assert clean.placed(df.limit(0), ["k"], ["t"], "n").count() == 0
