@@ -71,7 +71,7 @@ EXTRACTORS: list[tuple[str, str, bool, Callable[[Column], Column]]] = [
     ("/sensors_data_raw", "joint_vd", False, vector("joint_data.joint_vd")),
     ("/sensors_data_raw", "joint_current", False, current_or_torque),
     ("/sensors_data_raw", "imu", False, imu),
-    ("/kuavo_arm_traj", "arm_traj", False, radians("position")),
+    ("/arm_traj", "arm_traj", False, radians("position")),
     *[("/joint_cmd", f"cmd_{c}", False, vector(f"command.{c}")) for c in ("joint_q", "joint_v", "tau", "tau_max", "tau_ratio", "joint_kp", "joint_kd", "control_modes")],
     ("/control_robot_hand_position", "hand_action", False, hands),
     ("/control_robot_hand_position_state", "hand_state", False, hands),
@@ -94,9 +94,10 @@ def extract(messages: DataFrame, extractors: list[tuple[str, str, bool, Callable
     """One row per message and key its topic feeds: the other columns, key, is_fallback and ``v``.
 
     The time of a message stays the one at which it was received; a stamp in the message's header is not
-    taken.  Messages of other topics have no row; extractors are column expressions (or pandas UDFs), so
-    they travel to the executors with the plan.
+    taken.  Messages of other topics have no row; a robot's name before ``arm_traj`` makes no difference.
+    Extractors are column expressions (or pandas UDFs), so they travel to the executors with the plan.
     """
+    named = F.regexp_replace(F.col(topic), r"^/[A-Za-z0-9]+_arm_traj$", "/arm_traj")
     by_topic: dict[str, list] = {}
     for t, key, fallback, f in extractors:
         by_topic.setdefault(t, []).append((key, fallback, f))
@@ -104,8 +105,8 @@ def extract(messages: DataFrame, extractors: list[tuple[str, str, bool, Callable
     fed = None
     for t, keys in by_topic.items():
         values = F.array(*[F.struct(F.lit(k).alias("key"), F.lit(b).alias("is_fallback"), f(F.col(msg)).alias("v")) for k, b, f in keys])
-        fed = F.when(F.col(topic) == t, values) if fed is None else fed.when(F.col(topic) == t, values)
-    known = messages.where(F.col(topic).isin(list(by_topic)))
+        fed = F.when(named == t, values) if fed is None else fed.when(named == t, values)
+    known = messages.where(named.isin(list(by_topic)))
     return known.select(*rest, F.explode(fed).alias("_f")).select(*rest, "_f.*")
 
 

@@ -70,7 +70,7 @@ def imu_features(spark, d):
     return features(spark, d, "imu")
 
 
-@R.query(_slice("/kuavo_arm_traj", "arm_traj", 20, 14, "radians(x)", "vec_id % 3 <> 0"))
+@R.query(_slice("/arm_traj", "arm_traj", 20, 14, "radians(x)", "vec_id % 3 <> 0"))
 def arm_trajectory_features(spark, d):
     """Arm trajectories in radians; messages without positions have an empty vector."""
     return features(spark, d, "arm_traj")

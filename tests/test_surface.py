@@ -98,6 +98,8 @@ def test_extractors_of_ones_own(spark):
     mine = [("/x", "once", False, lambda m: F.array(m["p"]["v"])), ("/x", "twice", True, lambda m: double(m["p"]["v"]))]
     got = sorted((r.t, r.key, r.is_fallback, r.v) for r in M.extract(df, mine).collect())
     assert got == [(7, "once", False, [3.0]), (7, "twice", True, [6.0])]
+    arm = spark.createDataFrame([("/r2_arm_traj", 1), ("/arm_traj", 2), ("/other_arm_trajectory", 3)], "topic string, t long").withColumn("msg", F.struct(F.array(F.lit(180.0)).alias("position")))
+    assert sorted((r.t, round(r.v[0], 4)) for r in M.extract(arm, [x for x in M.EXTRACTORS if x[1] == "arm_traj"]).collect()) == [(1, 3.1416), (2, 3.1416)]
 
 
 def test_task_numbers_go_on(spark):
