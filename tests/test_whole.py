@@ -136,19 +136,25 @@ def test_withheld_zones_are_estimated(spark, monkeypatch):
     assert share() < 0.5
 
 
-def test_periods_over_cells_and_districts(spark):
-    """Stretches that touch, span or skip small cells and districts of cells."""
+def test_periods_over_cells(spark):
+    """Stretches that touch, span or skip small cells and upper cells; intervals of any length."""
     rng = np.random.default_rng(8)
-    data = [("k", int(s), int(s + n)) for s, n in zip(rng.integers(-400, 400, 80), rng.choice([1, 2, 4, 16, 60], 80))]
-    union = []
-    for s, e in sorted((s, e) for _, s, e in data):
-        if union and s <= union[-1][1]:
-            union[-1][1] = max(union[-1][1], e)
-        else:
-            union.append([s, e])
-    want = [("k", "period", s, e) for s, e in union] + [("k", "gap", a[1], b[0]) for a, b in zip(union, union[1:])]
-    for bits, district in ((2, 3), (3, 4), (5, 1024)):
-        assert sorted(map(tuple, periods_and_gaps(spark.createDataFrame(data, "k string, s long, e long"), "k", "s", "e", bits, district).collect())) == sorted(want)
+    data = [(f"k{i % 3}", int(s), int(s + n)) for i, (s, n) in enumerate(zip(rng.integers(-400, 400, 120), rng.choice([1, 2, 4, 8, 16, 60, 100], 120)))]
+    data += [("k1", 64, 128), ("k1", 128, 192), ("far", -(10**12), 10**12), ("far", 10**12, 10**12 + 5), ("far", 3, 9), ("far", 2 * 10**12, 2 * 10**12 + 1)]
+    want = []
+    for k in {d[0] for d in data}:
+        union = []
+        for s, e in sorted((s, e) for x, s, e in data if x == k):
+            if union and s <= union[-1][1]:
+                union[-1][1] = max(union[-1][1], e)
+            else:
+                union.append([s, e])
+        want += [(k, "period", s, e) for s, e in union] + [(k, "gap", a[1], b[0]) for a, b in zip(union, union[1:])]
+    df = spark.createDataFrame(data, "k string, s long, e long")
+    near, far = df.where("k <> 'far'"), [w for w in want if w[0] == "far"]
+    for bits in (2, 3, 4, 5):
+        assert sorted(map(tuple, periods_and_gaps(near, "k", "s", "e", bits).collect())) == sorted(w for w in want if w[0] != "far")
+    assert sorted(map(tuple, periods_and_gaps(df.where("k = 'far'"), "k", "s", "e").collect())) == sorted(far)
 
 
 def test_drift_casts_and_defaults(spark):
