@@ -147,10 +147,12 @@ def convert_units(
         F.struct(F.lit(f).alias("field"), F.lit(q).alias("quantity"), F.col(v).cast("string").alias("v"), F.col(u).cast("string").alias("u")) for f, (v, u, q) in fields.items()
     ])).alias("r")
     raw = readings.select(F.col(row_id).alias("id"), F.col(recording).cast("string").alias("rec"), pairs).select("id", "rec", "r.field", "r.quantity", "r.v", "r.u")
-    digits = F.regexp_extract("v", _NUMBER, 1)
+    # most values are plain numbers, which need no further look
+    plain, digits = F.col("v").rlike(r"^[+-]?\d+(?:\.\d+)?$"), F.regexp_extract("v", _NUMBER, 1)
+    x = F.when(plain, _let(F.col("v").try_cast("double"), lambda x: F.when(F.abs(x) < 1e300, x))).otherwise(number_of(digits)).alias("x")
     rest = _let(digits, lambda d: F.ltrim(F.substring(F.col("v"), F.length(d) + 1, F.length("v"))))
-    spelling = F.coalesce(F.when(F.col("u") != "", F.col("u")), F.when(rest != "", rest)).alias("spelling")
-    rows = raw.withColumns({"v": tidy(F.col("v")), "u": tidy(F.col("u"))}).select("id", "rec", "field", "quantity", number_of(digits).alias("x"), spelling).where("x is not null")
+    spelling = F.coalesce(F.when(F.col("u") != "", F.col("u")), F.when(~plain, F.nullif(rest, F.lit("")))).alias("spelling")
+    rows = raw.withColumns({"v": tidy(F.col("v")), "u": tidy(F.col("u"))}).select("id", "rec", "field", "quantity", x, spelling).where("x is not null")
     quantities = sorted({q for _, _, q in fields.values()})
     phrases = notes.select(F.col(recording).cast("string").alias("rec"), F.explode(phrases_of(tidy(F.col(note)))).alias("spelling")).distinct()
     in_notes = phrases.select(F.explode(F.array(*map(F.lit, quantities))).alias("quantity"), "spelling")
