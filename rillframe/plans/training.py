@@ -107,9 +107,19 @@ def p7_cells(spark: SparkSession, d: str) -> DataFrame:
     return consistent_cells(table(spark, d, "sidecar_files"), *_SIDECAR)
 
 
+def p7_kept(spark: SparkSession, d: str) -> DataFrame:
+    """Per readable body the number of its top-level fields that the cells hold, and of cells that have another type than their field or were lost."""
+    cells = p7_cells(spark, d)
+    top = F.when(F.col("rule") != "default", F.substring_index("written_as", "[].", 1))
+    types = cells.groupBy("exporter", "field").agg(F.countDistinct("type").alias("types"))
+    odd = cells.join(types, ["exporter", "field"]).where("types > 1 and rule <> 'kept'")
+    per = cells.groupBy("file_id").agg(F.countDistinct(top).alias("fields"))
+    return per.join(odd.groupBy("file_id").agg(F.count("*").alias("odd")), "file_id", "left").select("file_id", "fields", F.coalesce("odd", F.lit(0)).alias("odd"))
+
+
 def p7_table(spark: SparkSession, d: str) -> DataFrame:
     """One consistent table of all bodies, one typed column per field."""
     return consistent_table(table(spark, d, "sidecar_files"), *_SIDECAR)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_values, p3_found, p3_flags, p3_outside, p3_stuck, p4_found, p5_found, p5_series, p6_found, p7_found, p7_cells, p7_table)}
+QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_values, p3_found, p3_flags, p3_outside, p3_stuck, p4_found, p5_found, p5_series, p6_found, p7_found, p7_cells, p7_kept, p7_table)}

@@ -126,4 +126,6 @@ ORACLES = {
  s as (select source, topic, i, avg((x = before)::int) as repeats from l where isfinite(x) and isfinite(before) group by 1, 2, 3),
  r as (select *, sum(case when x = before then 0 else 1 end) over (partition by bag_id, topic, i order by seq) as run from l), n as (select *, count(*) over (partition by bag_id, topic, i, run) as size from r where x is not null)
  select distinct bag_id, topic, seq from n join s using (source, topic, i) where size >= 20 and repeats < 0.5 and isfinite(x) and topic not in ('/leju_claw_command', '/cmd_pose_world_synced')""",
+    "p7_kept": """select distinct file_id, len(json_keys(body))::bigint as fields, 0::bigint as odd from sidecar_files
+ where exporter is not null and written_at is not null and json_valid(body) and json_type(body) = 'OBJECT'""",
 }
