@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from rillframe.session import cut_lineage
 
-_BUCKETS = 1024
+_BUCKETS, _IN_BUCKET = 1024, 100_000  # a pattern's texts are placed in so many parts at least, of so many texts if all have one pattern
 _NEXT = 200  # texts after the end of a source's arc that may fill what is left of its quota
 
 
@@ -120,7 +120,8 @@ def mix(documents: DataFrame, targets: DataFrame, size: int | None = None, seed:
     texts = one.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"), F.sort_array(F.collect_list(F.struct("source", "doc_id"))).alias("members"))  # one entry per source
     texts = texts.withColumn("pattern", F.array_join(F.transform("members", lambda m: m["source"]), "|"))
     order = F.xxhash64("digest", F.lit(seed))
-    texts = cut_lineage(texts.withColumn("h", order).withColumn("bucket", F.pmod("h", F.lit(_BUCKETS))))
+    texts = cut_lineage(texts.withColumn("h", order))
+    texts = texts.withColumn("bucket", F.pmod("h", F.lit(max(_BUCKETS, texts.count() // _IN_BUCKET))))
     # the sums by pattern: at most two to the power of the number of sources
     sums = {tuple(r["pattern"].split("|")): int(r["n"]) for r in texts.groupBy("pattern").agg(F.sum("n_tokens").alias("n")).collect()}
     _, flow = route(sums, shares, repeats, size)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from rillframe.session import cut_lineage, floor_div
 
 GROUPS = 32
-_SHARDS = 64  # ranks inside one size are counted in so many parts
+_SHARDS, _IN_SHARD = 64, 500_000  # ranks inside one size are counted in so many parts at least, of so many rows if all have one size
 
 
 def best_pattern(sizes: np.ndarray, worth: np.ndarray, capacity: int, most: int) -> tuple[float, np.ndarray]:
@@ -178,9 +178,9 @@ def place_small(histogram: dict[int, int], room: dict[int, int], capacity: int)
     return rows, fresh
 
 
-def _ranked(df: DataFrame, by: str, order: list[str]) -> DataFrame:
+def _ranked(df: DataFrame, by: str, order: list[str], shards: int) -> DataFrame:
     """Rank (from 0) within ``by``, counted in shards so that one value may hold most of the rows."""
-    shard = F.pmod(F.xxhash64(*order), F.lit(_SHARDS))
+    shard = F.pmod(F.xxhash64(*order), F.lit(shards))
     rows = df.withColumn("_shard", shard)
     counts = rows.groupBy(by, "_shard").agg(F.count("*").alias("_n"))
     ahead = Window.partitionBy(by).orderBy("_shard").rowsBetween(Window.unboundedPreceding, -1)
@@ -204,7 +204,8 @@ def pack(items: DataFrame, capacity: int, groups: int = GROUPS, small: float = 1
     whole = items.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("n_tokens").cast("bigint").alias("size")).where("doc_id is not null and size > 0").distinct()
     cuts = F.explode(F.sequence(F.lit(0).cast("bigint"), floor_div(F.col("size") - 1, cap))).alias("piece")
     pieces = whole.select("doc_id", "size", cuts).select("doc_id", "piece", (F.col("piece") * cap).alias("first_token"), F.least(cap, F.col("size") - F.col("piece") * cap).alias("size"))
-    ranked = cut_lineage(_ranked(pieces, "size", ["doc_id", "piece"]))
+    shards = max(_SHARDS, items.count() // _IN_SHARD)
+    ranked = cut_lineage(_ranked(pieces, "size", ["doc_id", "piece"], shards))
     histogram = {r["size"]: r["n"] for r in ranked.groupBy("size").agg(F.count("*").alias("n")).collect()}  # at most ``capacity`` rows
     full = histogram.pop(capacity, 0)
     limit = max(1, int(capacity * small))
@@ -227,7 +228,7 @@ def pack(items: DataFrame, capacity: int, groups: int = GROUPS, small: float = 1
     position = F.col("rank") + F.col("start")
     inside = position - F.col("seg")
     big = cut_lineage(chosen(plan, position).select(number(F.col("first") + floor_div(inside, F.col("each"))), *cols))
-    rooms = _ranked(big.groupBy("container_no").agg((cap - F.sum("size")).alias("room")), "room", ["container_no"])
+    rooms = _ranked(big.groupBy("container_no").agg((cap - F.sum("size")).alias("room")), "room", ["container_no"], shards)
     rooms = cut_lineage(rooms)
     free = {r["room"]: r["n"] for r in rooms.groupBy("room").agg(F.count("*").alias("n")).collect()}  # at most ``capacity`` rows
     tiny = {k: n for k, n in histogram.items() if k <= limit}
