@@ -213,13 +213,14 @@ def periods_and_gaps(df: DataFrame, key: str, start: str, end: str, cell_bits: i
     base = F.col("cell") * bits
     over = over.select("k", "cell", (F.greatest("u", base) - base).alias("lo"), (F.least("v", base + bits) - base).alias("hi"), F.lit(False).alias("mark"))
     over = over.groupBy("k", "cell", "lo", "mark").agg(F.max("hi").alias("hi"))
-    marks = cut.select("k", "cell").distinct().withColumn("c", floor_div(F.col("cell"), bits))
+    marks = pieces.where("hi > 0").select("k", "cell").distinct().withColumn("c", floor_div(F.col("cell"), bits))
     marks = marks.select("k", F.col("c").alias("cell"), (F.col("cell") - F.col("c") * bits).alias("lo"), F.lit(True).alias("mark"), (F.col("cell") - F.col("c") * bits + 1).alias("hi"))
-    upper = over.unionByName(marks).repartition("k", "cell").sortWithinPartitions("k", "cell").mapInArrow(_upper(cell_bits), _UPPER)
+    # each step is written once: it has several uses, and the last ones are other jobs
+    upper = cut_lineage(over.unionByName(marks).repartition("k", "cell").sortWithinPartitions("k", "cell").mapInArrow(_upper(cell_bits), _UPPER))
     free = upper.where("free").select("k", F.col("s").alias("cell"))
-    inner = pieces.join(free, ["k", "cell"], "left_semi").repartition("k", "cell").sortWithinPartitions("k", "cell").mapInArrow(_stretches(cell_bits), _STRETCH)
+    inner = cut_lineage(pieces.join(free, ["k", "cell"], "left_semi").repartition("k", "cell").sortWithinPartitions("k", "cell").mapInArrow(_stretches(cell_bits), _STRETCH))
 
-    # what may touch stretches of other cells, in ranges of the line; written once, so that the ranges stay as they are
+    # what may touch stretches of other cells, in ranges of the line, which stay as they are once written
     edges = inner.where("is_first or is_last").select("k", "s", "e", F.col("is_last").alias("tail"))
     covered = upper.where("not free").select("k", (F.col("s") * bits).alias("s"), (F.col("e") * bits).alias("e"), F.lit(True).alias("tail"))
     outer = cut_lineage(edges.unionByName(covered).repartitionByRange("k", "s").withColumn("part", F.spark_partition_id()))
