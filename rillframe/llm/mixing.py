@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from rillframe.session import cut_lineage
 
 _BUCKETS, _IN_BUCKET = 1024, 100_000  # a pattern's texts are placed in so many parts at least, of so many texts if all have one pattern
+_SHARDS = 64  # parts in which the copies of one text are numbered
 _NEXT = 200  # texts after the end of a source's arc that may fill what is left of its quota
 
 
@@ -107,19 +108,26 @@ def mix(documents: DataFrame, targets: DataFrame, size: int | None = None, seed:
     come nearest to the amount are taken, so that the miss is about as small as the smallest of them.
 
     Sources are compared without regard to case, spaces and hyphens.  Documents of sources without a
-    target, without tokens, or with a null id, source or digest are not used; where a text has several
-    rows in a source the lowest id stands for it; targets that are null, or not above 0, are left out;
-    empty tables give an empty result.
+    target, without tokens, or with a null id, source or digest are not used; copies of a text are documents
+    of their own: the first copies of all its sources are one text, the second copies another, and so on;
+    equal rows count once; targets that are null, or not above 0, are left out; empty tables give an empty
+    result.
     """
     goals = [r for r in targets.select(clean_source(F.col("source")).alias("source"), "target_share", "max_repeats").distinct().collect() if r.source and r.target_share and r.max_repeats]
     shares, repeats = {r.source: float(r.target_share) for r in goals if r.target_share > 0}, {r.source: int(r.max_repeats) for r in goals}
     rows = documents.select("doc_id", clean_source(F.col("source")).alias("source"), "digest", "n_tokens")
     rows = rows.where(F.col("source").isin(list(shares)) & F.expr("doc_id is not null and digest is not null and n_tokens > 0"))
-    # per text and source first: a text with very many copies never meets in one task
-    one = rows.groupBy("digest", "source").agg(F.min("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"))
-    texts = one.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"), F.sort_array(F.collect_list(F.struct("source", "doc_id"))).alias("members"))  # one entry per source
+    # which copy of its text in its source a document is; counted in shards, as one text may have most of the rows
+    shard = F.pmod(F.xxhash64("doc_id"), F.lit(_SHARDS))
+    one = rows.groupBy("digest", "source", "doc_id").agg(F.max("n_tokens").alias("n_tokens")).withColumn("shard", shard)
+    counts = one.groupBy("digest", "source", "shard").agg(F.count("*").alias("n"))
+    ahead = Window.partitionBy("digest", "source").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("digest", "source", "shard", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("ahead"))
+    inner = F.row_number().over(Window.partitionBy("digest", "source", "shard").orderBy("doc_id"))
+    copies = one.withColumn("i", inner).join(counts, ["digest", "source", "shard"]).withColumn("copy", F.col("i") + F.col("ahead"))
+    texts = copies.groupBy("digest", "copy").agg(F.max("n_tokens").alias("n_tokens"), F.sort_array(F.collect_list(F.struct("source", "doc_id"))).alias("members"))  # one entry per source
     texts = texts.withColumn("pattern", F.array_join(F.transform("members", lambda m: m["source"]), "|"))
-    order = F.xxhash64("digest", F.lit(seed))
+    order = F.xxhash64("digest", "copy", F.lit(seed))
     texts = cut_lineage(texts.withColumn("h", order))
     texts = texts.withColumn("bucket", F.pmod("h", F.lit(max(_BUCKETS, texts.count() // _IN_BUCKET))))
     # the sums by pattern: at most two to the power of the number of sources
@@ -134,7 +142,7 @@ def mix(documents: DataFrame, targets: DataFrame, size: int | None = None, seed:
     per = texts.groupBy("pattern", "bucket").agg(F.sum("n_tokens").alias("b"))
     before = Window.partitionBy("pattern").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     per = per.select("pattern", "bucket", F.coalesce(F.sum("b").over(before), F.lit(0)).alias("ahead"))
-    inner = Window.partitionBy("pattern", "bucket").orderBy("h", "digest").rowsBetween(Window.unboundedPreceding, -1)
+    inner = Window.partitionBy("pattern", "bucket").orderBy("h", "digest", "copy").rowsBetween(Window.unboundedPreceding, -1)
     placed = texts.withColumn("inner", F.coalesce(F.sum("n_tokens").over(inner), F.lit(0))).join(per, ["pattern", "bucket"]).withColumn("at", F.col("ahead") + F.col("inner"))
     # the texts of a pattern lie on a circle of all its tokens; a source takes an arc that may go round several times
     hits = lambda end: F.ceil((F.col(end) - F.col("at")) / F.col("around"))

@@ -148,3 +148,11 @@ def test_mix_with_a_giant_text(spark):
     targets = spark.createDataFrame([("a", 0.3, 1), ("b", 0.7, 1)], "source string, target_share double, max_repeats long")
     for seed in range(6):
         assert all(abs(r.actual_share - r.target_share) < 0.01 for r in share_report(mix(docs, targets, seed=seed), targets).collect())
+
+
+def test_copies_are_documents(spark):
+    """A source of copies of one text can give as many tokens as its documents have; none is used too often."""
+    data = [(i, "a", "same", 10) for i in range(300)] + [(1000 + i, "b", f"t{i}", 10) for i in range(300)] + [(2000, "b", "same", 10), (1, "a", "same", 10)]
+    targets = spark.createDataFrame([("a", 0.5, 1), ("b", 0.5, 1)], "source string, target_share double, max_repeats long")
+    mixed = mix(spark.createDataFrame(data, "doc_id long, source string, digest string, n_tokens long"), targets).collect()
+    assert sum(r.copies for r in mixed) >= 598 and max(r.copies for r in mixed) == 1 and len({(r.source, r.doc_id) for r in mixed}) == len(mixed)
