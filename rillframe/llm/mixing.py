@@ -119,7 +119,7 @@ def mix(documents: DataFrame, targets: DataFrame, size: int | None = None, seed:
     rows = rows.where(F.col("source").isin(list(shares)) & F.expr("doc_id is not null and digest is not null and n_tokens > 0"))
     # which copy of its text in its source a document is; counted in shards, as one text may have most of the rows
     shard = F.pmod(F.xxhash64("doc_id"), F.lit(_SHARDS))
-    one = rows.groupBy("digest", "source", "doc_id").agg(F.max("n_tokens").alias("n_tokens")).withColumn("shard", shard)
+    one = cut_lineage(rows.groupBy("digest", "source", "doc_id").agg(F.max("n_tokens").alias("n_tokens")).withColumn("shard", shard))  # read twice
     counts = one.groupBy("digest", "source", "shard").agg(F.count("*").alias("n"))
     ahead = Window.partitionBy("digest", "source").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select("digest", "source", "shard", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("ahead"))
